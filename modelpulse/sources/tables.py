@@ -61,10 +61,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests_from_events(load(spark, sf_dir, "events"))
 
 
-def text_features(documents: DataFrame) -> DataFrame:
+def text_features(documents: DataFrame, *keep: str) -> DataFrame:
     """Numeric features of each whole text."""
     tokens = S.words(F.col("text"))
     return documents.select(
+        *keep,
         "doc_id",
         "lang",
         "source",
@@ -82,6 +83,4 @@ def labelled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: features joined to the 0/1 target."""
     labels = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
     # The join comes before the word features, so only labelled texts are tokenised.
-    documents = load(spark, sf_dir, "documents").join(labels, "doc_id")
-    features = text_features(documents.drop("target"))
-    return features.join(labels, "doc_id")
+    return text_features(load(spark, sf_dir, "documents").join(labels, "doc_id"), "target")
