@@ -228,9 +228,9 @@ def response_validation(spark, sf_dir):
 @query(
     with_requests(
         """
--- Decimals make exact halves round up, as they do in Spark; binary halves would fall either way.
-SELECT request_id, CAST(round(CAST(latency_ms / 7.0 AS DECIMAL(18, 12)), 2) AS DOUBLE) AS latency_2,
-       CAST(round(CAST(inference_ms / 700.0 AS DECIMAL(18, 12)), 4) AS DOUBLE) AS confidence_4
+-- Half-up on the shortest decimal form of the double, which is what Spark rounds.
+SELECT request_id, CAST(round(CAST(CAST(latency_ms / 7.0 AS VARCHAR) AS DECIMAL(38, 24)), 2) AS DOUBLE) AS latency_2,
+       CAST(round(CAST(CAST(inference_ms / 700.0 AS VARCHAR) AS DECIMAL(38, 24)), 4) AS DOUBLE) AS confidence_4
 FROM requests"""
     )
 )
