@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from modelpulse.plans import inference, logs, serving  # noqa: F401
+from modelpulse.plans import inference, learning, logs, serving  # noqa: F401
 from modelpulse.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
