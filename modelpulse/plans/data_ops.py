@@ -234,6 +234,17 @@ def rate_limited_requests(spark, sf_dir):
     return CO.rate_limited(events, "user_id", F.to_date("ts"), ["ts", "event_id"], 2).select("event_id", "user_id")
 
 
+def raw_event_lines(spark, sf_dir):
+    """Events as raw JSON lines; every tenth line arrives twice and some are broken, as raw data is."""
+    events = load(spark, sf_dir, "events")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts")
+    line = F.to_json(F.struct("event_id", stamp, "user_id", "event_type", "value", "props"))
+    lines = events.select("event_id", line.alias("value"))
+    again = lines.where(F.col("event_id") % 10 == 0)
+    broken = lines.where(F.col("event_id") % 50 == 0).withColumn("value", F.lit("{broken"))
+    return lines.unionByName(again).unionByName(broken).select("value")
+
+
 @query(
     with_requests(
         """
@@ -245,11 +256,4 @@ FROM requests GROUP BY 1, 2"""
     )
 )
 def medallion_gold(spark, sf_dir):
-    events = load(spark, sf_dir, "events")
-    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"), "user_id", "event_type", "value", "props"))
-    lines = events.select(F.col("event_id"), line.alias("value"))
-    # Every tenth line arrives twice and some lines are broken, as raw data does.
-    again = lines.where(F.col("event_id") % 10 == 0)
-    broken = lines.where(F.col("event_id") % 50 == 0).withColumn("value", F.lit("{broken"))
-    raw = lines.unionByName(again).unionByName(broken).select("value")
-    return medallion.run(spark, raw, scratch_path(spark, "medallion"))
+    return medallion.run(spark, raw_event_lines(spark, sf_dir), scratch_path(spark, "medallion"))
