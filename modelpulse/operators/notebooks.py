@@ -33,7 +33,7 @@ def image_outputs(notebooks: DataFrame, mime: str = PNG) -> DataFrame:
             ),
         )
     )
-    numbered = notebooks.select("path", F.posexplode(found).alias("pos", "o"))
+    numbered = notebooks.select("path", F.posexplode_outer(found).alias("pos", "o")).where(F.col("pos").isNotNull())
     n = F.col("pos") + 1
     return numbered.select(
         "path",

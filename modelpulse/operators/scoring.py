@@ -49,7 +49,7 @@ def with_class_name(df: DataFrame, dimension: DataFrame, class_id: str = "class_
 def ranked_predictions(scored: DataFrame, key: str, logits: str, k: int = 5) -> DataFrame:
     """Rows (key, rank, class_id, confidence), worked out inside each row, without a shuffle."""
     probabilities = S.softmax(F.col(logits))
-    return scored.select(key, F.inline(S.top_k(probabilities, k)))
+    return scored.select(key, F.inline_outer(S.top_k(probabilities, k))).where(F.col("rank").isNotNull())
 
 
 def ranked_predictions_long(scores: DataFrame, key: str, k: int = 5) -> DataFrame:

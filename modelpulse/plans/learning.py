@@ -9,7 +9,7 @@ from modelpulse.operators import metrics as ME
 from modelpulse.operators import models as MO
 from modelpulse.operators import splits as SP
 from modelpulse.plans.registry import query
-from modelpulse.sources.tables import FEATURES, labelled_frame, load, text_features
+from modelpulse.sources.tables import FEATURES, labelled_frame, load, load_texts, text_features
 
 # The word features of sources.tables, in SQL.
 TEXT = """
@@ -69,7 +69,7 @@ SELECT lang, count(*) AS n, round(avg((n_chars - n_words * 6.0) ** 2), 6) AS mse
        round(1 - avg((n_chars - n_words * 6.0) ** 2) / var_pop(n_chars), 9) AS r2 FROM features GROUP BY lang"""
 )
 def regression_scores(spark, sf_dir):
-    predicted = text_features(load(spark, sf_dir, "documents")).withColumn("predicted", F.col("n_words") * 6.0)
+    predicted = text_features(load_texts(spark, sf_dir, "documents")).withColumn("predicted", F.col("n_words") * 6.0)
     return ME.regression_scores(predicted, "n_chars", "predicted", ["lang"])
 
 
@@ -182,7 +182,7 @@ SELECT round(regr_slope(n_chars, n_words), 6) AS slope, round(regr_intercept(n_c
        round(regr_r2(n_chars, n_words), 9) AS r2, count(*) AS n FROM train"""
 )
 def simple_regression(spark, sf_dir):
-    train = SP.holdout(text_features(load(spark, sf_dir, "documents")), "doc_id").where(~F.col("is_test"))
+    train = SP.holdout(text_features(load_texts(spark, sf_dir, "documents")), "doc_id").where(~F.col("is_test"))
     return train.agg(
         F.round(F.regr_slope("n_chars", "n_words"), 6).alias("slope"),
         F.round(F.regr_intercept("n_chars", "n_words"), 4).alias("intercept"),
@@ -193,7 +193,7 @@ def simple_regression(spark, sf_dir):
 
 def _regression_sides(spark, sf_dir):
     # Seven passes or more follow, so the small numeric frame is cached instead of re-tokenising the texts.
-    frame = SP.holdout(text_features(load(spark, sf_dir, "documents")), "doc_id")
+    frame = SP.holdout(text_features(load_texts(spark, sf_dir, "documents")), "doc_id")
     ready = MO.assembled(frame, FEATURES, "n_chars").select("doc_id", "features", "label", "is_test").cache()
     return ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
 

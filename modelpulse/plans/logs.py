@@ -14,7 +14,7 @@ from modelpulse.session import scratch_path
 from modelpulse.sources import artifacts as A
 from modelpulse.sources import exposition as X
 from modelpulse.sources import logs as L
-from modelpulse.sources.tables import load, requests
+from modelpulse.sources.tables import load, load_texts, requests
 
 
 def _records(spark, sf_dir):
@@ -86,11 +86,14 @@ def span_summary(spark, sf_dir):
 @query(
     with_requests(
         """,
-ids AS (SELECT *, substr(md5(CAST(request_id AS VARCHAR)), 1, 8) AS rid FROM requests WHERE k % 10 <> 0)
-SELECT rid AS request_id, start_us AS received_us, start_us + k * 100 AS queued_us, end_us + k * 100 AS done_us,
-       3 AS lines, CASE WHEN status = 200 THEN 'completed' ELSE 'failed' END AS result,
-       k / 10.0 AS to_queue_ms, (end_us - start_us) / 1000.0 AS in_queue_ms
-FROM ids"""
+ids AS (SELECT *, substr(md5(CAST(request_id AS VARCHAR)), 1, 8) AS rid FROM requests WHERE k % 10 <> 0),
+lines AS (SELECT rid, 'received' AS stage, start_us AS at_us FROM ids
+          UNION ALL SELECT rid, 'queued', start_us + k * 100 FROM ids
+          UNION ALL SELECT rid, CASE WHEN status = 200 THEN 'completed' ELSE 'failed' END, end_us + k * 100 FROM ids),
+staged AS (SELECT rid AS request_id, min(at_us) FILTER (stage = 'received') AS received_us, min(at_us) FILTER (stage = 'queued') AS queued_us,
+                  min(at_us) FILTER (stage IN ('completed', 'failed')) AS done_us, count(*) AS lines,
+                  CASE WHEN bool_or(stage = 'failed') THEN 'failed' ELSE 'completed' END AS result FROM lines GROUP BY rid)
+SELECT *, (queued_us - received_us) / 1000.0 AS to_queue_ms, (done_us - queued_us) / 1000.0 AS in_queue_ms FROM staged"""
     )
 )
 def request_traces(spark, sf_dir):
@@ -248,7 +251,7 @@ def _notebooks(spark, sf_dir):
         )
         return F.struct(F.array(marker, line).alias("source"), outputs.alias("outputs"))
 
-    documents = load(spark, sf_dir, "documents")
+    documents = load_texts(spark, sf_dir, "documents")
     return documents.select(
         F.col("doc_id").cast("string").alias("path"), F.transform(F.split("text", "\n"), cell).alias("cells")
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelpulse.operators import retrieval as RT
 from modelpulse.plans.registry import query
-from modelpulse.sources.tables import load
+from modelpulse.session import pin
+from modelpulse.sources.tables import load, load_texts
 
 
 @query(
@@ -20,7 +19,7 @@ SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, CAST(len(w[chunk * 462 + 1 : chu
        md5(array_to_string(w[chunk * 462 + 1 : chunk * 462 + 512], ' ')) AS digest FROM c"""
 )
 def document_chunks(spark, sf_dir):
-    pieces = RT.chunks(load(spark, sf_dir, "documents"), "doc_id", "text")
+    pieces = RT.chunks(load_texts(spark, sf_dir, "documents"), "doc_id", "text")
     return pieces.select("doc_id", "chunk", "n_words", F.md5("text").alias("digest"))
 
 
@@ -59,7 +58,7 @@ reranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DE
 
 def _lexical(spark, sf_dir, k) -> DataFrame:
     scores = RT.bm25_scores(
-        load(spark, sf_dir, "documents"), "doc_id", "text", load(spark, sf_dir, "benchmark"), "item_id", "text"
+        load_texts(spark, sf_dir, "documents"), "doc_id", "text", load(spark, sf_dir, "benchmark"), "item_id", "text"
     )
     return RT.top_per_query(scores, "item_id", "doc_id", k)
 
@@ -129,7 +128,7 @@ def relevance_judgements(spark, sf_dir):
 
 def _relevant(spark, sf_dir):
     return RT.passages_in_documents(
-        load(spark, sf_dir, "documents"), "doc_id", "text", load(spark, sf_dir, "benchmark"), "item_id", "text"
+        load_texts(spark, sf_dir, "documents"), "doc_id", "text", load(spark, sf_dir, "benchmark"), "item_id", "text"
     )
 
 
@@ -149,19 +148,15 @@ SELECT strategy, (SELECT count(*) FROM wanted) AS queries,
 FROM judged LEFT JOIN wanted USING (item_id) GROUP BY strategy"""
 )
 def retrieval_quality(spark, sf_dir):
-    # The scored pairs feed three of the strategies, so the ranked lists are computed once.
-    lexical, vector = _lexical(spark, sf_dir, DEPTH).cache(), _vector(spark, sf_dir, DEPTH).cache()
+    # The ranked lists feed several strategies, so they are computed once.
+    lexical, vector = pin(_lexical(spark, sf_dir, DEPTH)), pin(_vector(spark, sf_dir, DEPTH))
     strategies = {
         "lexical": lexical,
         "vector": vector,
         "hybrid": RT.reciprocal_rank_fusion([lexical, vector], "item_id", "doc_id", 10),
         "reranked": _reranked(spark, sf_dir, lexical),
     }
-    results = reduce(
-        DataFrame.unionByName,
-        [r.select(F.lit(name).alias("strategy"), "item_id", "doc_id", "rank") for name, r in strategies.items()],
-    )
-    return RT.retrieval_quality(results, _relevant(spark, sf_dir), "item_id", "doc_id", 10)
+    return RT.retrieval_quality(strategies, _relevant(spark, sf_dir), "item_id", "doc_id", 10)
 
 
 @query(
@@ -230,7 +225,7 @@ SELECT model, CAST(cw AS BIGINT) AS candidate_words, CAST(rw AS BIGINT) AS refer
 )
 def model_bleu(spark, sf_dir):
     """Each turn judged against the turn before it, in two groups of conversations."""
-    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = load_texts(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     replies = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("candidate"))
     pairs = turns.withColumnRenamed("text", "reference").join(replies, ["conv_id", "turn"])
     pairs = pairs.withColumn("model", F.when(F.col("conv_id") % 2 == 0, "base").otherwise("tuned"))

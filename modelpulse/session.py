@@ -48,6 +48,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before costly row-wise work, if the input comes in fewer pieces than that.
+
+    Meant for plain scans: a table of many splits is returned as it is, so nothing is shuffled at
+    scale, while counting the partitions of a join would already run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later branches read one and the same copy."""
     shared_dir(df.sparkSession)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelpulse.functions import scalar as S
+from modelpulse.session import spread
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,6 +14,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def load_texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores when it has fewer splits than there are."""
+    return spread(load(spark, sf_dir, name))
+
+
 def requests_from_events(events: DataFrame) -> DataFrame:
     """The request log: one row per request with its outcome and durations.
 
@@ -83,4 +89,4 @@ def labelled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: features joined to the 0/1 target."""
     labels = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
     # The join comes before the word features, so only labelled texts are tokenised.
-    return text_features(load(spark, sf_dir, "documents").join(labels, "doc_id"), "target")
+    return text_features(load_texts(spark, sf_dir, "documents").join(labels, "doc_id"), "target")
