@@ -53,7 +53,7 @@ def main() -> None:
     spark = get_spark(
         "modelpulse-bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")},
+        **{"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

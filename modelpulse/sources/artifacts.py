@@ -35,7 +35,7 @@ def read_notebooks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_image_bytes(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Path, byte size and content of every file."""
+    """Path, byte size and content of every file; the file source passes over files of zero bytes."""
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
