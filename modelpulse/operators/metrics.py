@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelpulse.operators.ordered import join_null_safe, running
+from modelpulse.session import literal_table
 
 
 def regression_scores(df: DataFrame, actual: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -54,7 +55,8 @@ def scores_from_counts(counted: DataFrame, digits: int = 9) -> DataFrame:
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: Sequence) -> DataFrame:
     """Rows actual, one column per predicted class, zero where a pair never occurs."""
     columns = [F.count_if(F.col(predicted) == c).alias(f"pred_{c}") for c in classes]
-    known = df.sparkSession.createDataFrame([(c,) for c in classes], ["actual"])
+    known = literal_table(df.sparkSession, ["actual"], [(c,) for c in classes])
+    known = known.select(F.col("actual").cast("bigint" if isinstance(classes[0], int) else "string").alias("actual"))
     seen = df.groupBy(F.col(actual).cast(known.schema["actual"].dataType).alias("actual")).agg(*columns)
     zeros = known.select("actual", *[F.lit(0).cast("bigint").alias(f"pred_{c}") for c in classes])
     return seen.unionByName(zeros).groupBy("actual").agg(*[F.sum(f"pred_{c}").alias(f"pred_{c}") for c in classes])

@@ -74,6 +74,33 @@ def latency_summary(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def request_and_latency_summary(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The request summary and the latency summary of the successes from one scan."""
+    ok = succeeded()
+    good = F.when(ok, F.col("latency_ms"))
+    summed = requests.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(ok).alias("successful"),
+        F.count_if(~ok).alias("failed"),
+        F.sum(good).alias("_sum"),
+        F.min(good).alias("min_latency_ms"),
+        F.max(good).alias("max_latency_ms"),
+        F.round(F.avg(F.when(ok, F.col("inference_ms"))), 6).alias("avg_inference_ms"),
+    )
+    return summed.select(
+        *keys,
+        "total",
+        "successful",
+        "failed",
+        S.success_rate(F.col("successful"), F.col("total")).alias("success_rate"),
+        F.coalesce(F.round(F.try_divide("_sum", "successful"), 6), F.lit(0.0)).alias("avg_latency_ms"),
+        F.coalesce(F.round("_sum", 2), F.lit(0.0)).alias("total_latency_ms"),
+        "min_latency_ms",
+        "max_latency_ms",
+        "avg_inference_ms",
+    )
+
+
 def throughput(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Successes per wall second of each run, and the mean number of requests in flight.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from modelpulse.functions import scalar as S
+from modelpulse.session import literal_table
 
 # The known class names; any other id is shown as class_<id>.
 CLASS_NAMES = {
@@ -29,14 +30,14 @@ CLASS_NAMES = {
 
 
 def class_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CLASS_NAMES.items()), "class_id int, class_name string")
+    return literal_table(spark, ["class_id", "class_name"], list(CLASS_NAMES.items()))
 
 
 def with_class_name(df: DataFrame, dimension: DataFrame, class_id: str = "class_id") -> DataFrame:
     """Class name from the dimension, ``class_<id>`` where it has none.
 
-    No broadcast hint: the optimizer broadcasts a dimension it knows to be small and shuffles any
-    other, splitting hot class ids.
+    No broadcast hint: the optimizer broadcasts a dimension it knows to be small, such as
+    ``class_dimension``, and shuffles any other, splitting hot class ids.
     """
     names = dimension.select(F.col("class_id").alias("_id"), F.col("class_name").alias("_name"))
     joined = df.join(names, F.col(class_id) == F.col("_id"), "left")

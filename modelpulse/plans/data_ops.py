@@ -11,7 +11,7 @@ from modelpulse.operators import metrics as ME
 from modelpulse.operators import validation as V
 from modelpulse.plans import medallion
 from modelpulse.plans.registry import query, with_requests
-from modelpulse.session import scratch_path
+from modelpulse.session import literal_table, scratch_path
 from modelpulse.sources.tables import load, requests
 
 
@@ -195,7 +195,7 @@ def monthly_cost(spark, sf_dir):
         month,
         F.inline(F.array(line("compute", F.col("inference_ms") / 1000.0), line("storage", F.lit(1.0)), line("egress", served))),
     )
-    prices = spark.createDataFrame(PRICES, "resource string, unit_price double")
+    prices = literal_table(spark, ["resource", "unit_price"], PRICES)
     return CO.cost_by_resource(usage, prices, "month")
 
 

@@ -204,6 +204,41 @@ def _classification_sides(spark, sf_dir):
     return ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
 
 
+# Normal equations of three centred features, solved by Cramer's rule; ridge adds 1/n to the diagonal.
+NORMAL = f"""{TEXT},
+sides AS (SELECT *, {HASH} < {TEST_LIMIT} AS is_test FROM features),
+moments AS (SELECT count(*) AS n, avg(n_words) AS m1, avg(n_distinct) AS m2, avg(n_lines) AS m3, avg(n_chars) AS my,
+  var_pop(n_words) AS v1, var_pop(n_distinct) AS v2, var_pop(n_lines) AS v3, covar_pop(n_words, n_distinct) AS c12,
+  covar_pop(n_words, n_lines) AS c13, covar_pop(n_distinct, n_lines) AS c23, covar_pop(n_words, n_chars) AS y1,
+  covar_pop(n_distinct, n_chars) AS y2, covar_pop(n_lines, n_chars) AS y3 FROM sides WHERE NOT is_test),
+penal AS (SELECT 'ols' AS model, m.*, v1 AS a, v2 AS b, v3 AS c FROM moments m
+          UNION ALL SELECT 'ridge', m.*, v1 + 1.0 / n, v2 + 1.0 / n, v3 + 1.0 / n FROM moments m),
+solved AS (SELECT *, a * (b * c - c23 * c23) - c12 * (c12 * c - c23 * c13) + c13 * (c12 * c23 - b * c13) AS det FROM penal),
+weights AS (SELECT model, m1, m2, m3, my,
+  (y1 * (b * c - c23 * c23) - c12 * (y2 * c - c23 * y3) + c13 * (y2 * c23 - b * y3)) / det AS w1,
+  (a * (y2 * c - c23 * y3) - y1 * (c12 * c - c23 * c13) + c13 * (c12 * y3 - y2 * c13)) / det AS w2,
+  (a * (b * y3 - y2 * c23) - c12 * (c12 * y3 - y2 * c13) + y1 * (c12 * c23 - b * c13)) / det AS w3 FROM solved),
+fitted AS (SELECT *, my - w1 * m1 - w2 * m2 - w3 * m3 AS w0 FROM weights)
+"""
+
+
+@query(
+    f"""WITH {NORMAL},
+scored AS (SELECT model, n_chars AS y, w0 + w1 * n_words + w2 * n_distinct + w3 * n_lines AS p FROM fitted, sides WHERE is_test)
+SELECT model, count(*) AS n, round(avg((y - p) ** 2), 2) AS mse, round(1 - avg((y - p) ** 2) / var_pop(y), 6) AS r2
+FROM scored GROUP BY model"""
+)
+def ols_and_ridge_scores(spark, sf_dir):
+    train, test = _regression_sides(spark, sf_dir)
+    parts = [
+        ME.regression_scores(model.transform(test), "label", "prediction").select(
+            F.lit(name).alias("model"), "n", F.round("mse", 2).alias("mse"), F.round("r2", 6).alias("r2")
+        )
+        for name, model in (("ols", MO.fit_ols(train)), ("ridge", MO.fit_ridge(train)))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query()
 def linear_models(spark, sf_dir):
     """Test MSE and R2 of least squares, ridge, lasso and elastic net."""
@@ -221,17 +256,29 @@ def linear_models(spark, sf_dir):
     return scored
 
 
-@query()
+@query(
+    f"""WITH {NORMAL}
+SELECT model, unnest(['n_words', 'n_distinct', 'n_lines', '(intercept)']) AS term, round(unnest([w1, w2, w3, w0]), 5) AS weight FROM fitted"""
+)
 def linear_coefficients(spark, sf_dir):
     train, _ = _regression_sides(spark, sf_dir)
     ols = MO.coefficients(spark, MO.fit_ols(train), FEATURES, "ols")
-    return ols.unionByName(MO.coefficients(spark, MO.fit_ridge(train), FEATURES, "ridge"))
+    both = ols.unionByName(MO.coefficients(spark, MO.fit_ridge(train), FEATURES, "ridge"))
+    return both.withColumn("weight", F.round("weight", 5))
 
 
-@query()
+@query(
+    f"""WITH {NORMAL}
+SELECT doc_id, n_chars AS actual, round(w0 + w1 * n_words + w2 * n_distinct + w3 * n_lines, 4) AS predicted
+FROM fitted, sides WHERE is_test AND model = 'ols'"""
+)
 def actual_vs_predicted(spark, sf_dir):
     train, test = _regression_sides(spark, sf_dir)
-    return MO.fit_ols(train).transform(test).select("doc_id", F.col("label").alias("actual"), F.col("prediction").alias("predicted"))
+    return (
+        MO.fit_ols(train)
+        .transform(test)
+        .select("doc_id", F.col("label").alias("actual"), F.round("prediction", 4).alias("predicted"))
+    )
 
 
 @query()

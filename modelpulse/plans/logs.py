@@ -71,6 +71,12 @@ def service_log_roundtrip(spark, sf_dir):
     )
 
 
+@query(with_requests(f", {RECORDS} SELECT name, level, count(*) AS n FROM records WHERE level IN ('ERROR') GROUP BY name, level"))
+def log_level_filter(spark, sf_dir):
+    loud = L.at_level(L.parse_json_lines(_records(spark, sf_dir)), "WARNING")
+    return loud.groupBy("name", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     with_requests(
         f""", {RECORDS}
@@ -201,7 +207,7 @@ def metric_exposition(spark, sf_dir):
 
 @query(f"WITH {EXPOSITION} SELECT value FROM lines ORDER BY value LIMIT 5")
 def first_metric_samples(spark, sf_dir):
-    return X.first_samples(_exposition(spark, sf_dir))
+    return X.first_samples(_exposition(spark, sf_dir).select("value"))
 
 
 @query(

@@ -12,7 +12,7 @@ RAW_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string,
 
 
 def write_bronze(raw_lines: DataFrame, path: str) -> None:
-    """Raw lines as they came, with the day for pruning."""
+    """Raw lines as they came."""
     raw_lines.write.mode("append").parquet(path)
 
 

@@ -29,11 +29,9 @@ FROM requests GROUP BY endpoint"""
 )
 def endpoint_request_summary(spark, sf_dir):
     log = requests(spark, sf_dir)
-    summary = R.request_summary(log, ["endpoint"])
-    latency = R.latency_summary(log, ["endpoint"]).drop("n", "avg_latency_ms")
+    summary = R.request_and_latency_summary(log, ["endpoint"])
     percentiles = R.slo_report(log, ["endpoint"]).select("endpoint", "p50_ms", "p95_ms", "p99_ms")
-    joined = R.with_latency_percentiles(summary, latency, ["endpoint"])
-    return R.with_latency_percentiles(joined, percentiles, ["endpoint"])
+    return R.with_latency_percentiles(summary, percentiles, ["endpoint"])
 
 
 @query(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "modelpulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,6 +60,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def literal_table(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
+    """A few fixed rows as an expression, so the planner knows that the table is tiny and broadcasts it.
+
+    A table made from Python rows has an unknown size and would make the other side shuffle.
+    """
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that later branches read one and the same copy."""
     shared_dir(df.sparkSession)

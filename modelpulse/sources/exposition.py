@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modelpulse.session import literal_table
+
 
 def _escaped(value: Column) -> Column:
     out = F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\"))
@@ -28,21 +30,33 @@ def histogram_lines(long: DataFrame, metric: str, labels: Sequence[str]) -> Data
     text = F.concat(
         F.lit(metric + "_"), F.col("sample"), _labels(labels, F.col("le")), F.lit(" "), F.col("value").cast("string")
     )
-    return long.select(text.alias("value"))
+    # Buckets by rising bound, then count and sum.
+    bound = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.when(F.col("le") != "", F.col("le").cast("double")))
+    return long.select(
+        F.lit(metric).alias("family"), F.lit(2).alias("part"), _labels(labels).alias("series"), F.col("sample").alias("sample"),
+        bound.alias("bound"), text.alias("value"),
+    )
 
 
 def value_lines(values: DataFrame, metric: str, labels: Sequence[str]) -> DataFrame:
     """Sample lines of a counter or gauge (labels, value)."""
     number = F.col("value").cast("double").cast("string")
-    return values.select(F.concat(F.lit(metric), _labels(labels), F.lit(" "), number).alias("value"))
+    return values.select(
+        F.lit(metric).alias("family"), F.lit(2).alias("part"), _labels(labels).alias("series"), F.lit("").alias("sample"),
+        F.lit(0.0).alias("bound"), F.concat(F.lit(metric), _labels(labels), F.lit(" "), number).alias("value"),
+    )
 
 
 def header_lines(spark: SparkSession, metric: str, help_text: str, kind: str) -> DataFrame:
-    return spark.createDataFrame([(f"# HELP {metric} {help_text}",), (f"# TYPE {metric} {kind}",)], "value string")
+    names = ["family", "part", "series", "sample", "bound", "value"]
+    lines = [(metric, 0, "", "", 0.0, f"# HELP {metric} {help_text}"), (metric, 1, "", "", 0.0, f"# TYPE {metric} {kind}")]
+    return literal_table(spark, names, lines)
 
 
 def write_exposition(lines: DataFrame, path: str) -> None:
-    lines.write.mode("overwrite").text(path)
+    """Families one after the other, header first; the files joined in name order are one valid page."""
+    ordered = lines.orderBy("family", "part", "series", "sample", "bound", "value")
+    ordered.select("value").write.mode("overwrite").text(path)
 
 
 def sample_lines(lines: DataFrame) -> DataFrame:

@@ -86,6 +86,15 @@ def log_record(
     return F.struct(*parts)
 
 
+# Log levels from the least to the most severe.
+LEVELS = ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"]
+
+
+def at_level(logs: DataFrame, minimum: str) -> DataFrame:
+    """Records of the given level or a more severe one."""
+    return logs.where(F.col("level").isin(LEVELS[LEVELS.index(minimum.upper()) :]))
+
+
 def json_lines(df: DataFrame, record: Column) -> DataFrame:
     return df.select(F.to_json(record).alias("value"))
 

@@ -67,11 +67,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests_from_events(load(spark, sf_dir, "events"))
 
 
-def text_features(documents: DataFrame, *keep: str) -> DataFrame:
+def text_features(documents: DataFrame) -> DataFrame:
     """Numeric features of each whole text."""
     tokens = S.words(F.col("text"))
     return documents.select(
-        *keep,
         "doc_id",
         "lang",
         "source",
@@ -88,5 +87,5 @@ FEATURES = ["n_words", "n_distinct", "n_lines"]
 def labelled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: features joined to the 0/1 target."""
     labels = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
-    # The join comes before the word features, so only labelled texts are tokenised.
-    return text_features(load_texts(spark, sf_dir, "documents").join(labels, "doc_id"), "target")
+    # Features first: where the join shuffles, a few numbers per document travel instead of its text.
+    return text_features(load_texts(spark, sf_dir, "documents")).join(labels, "doc_id")

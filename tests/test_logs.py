@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from modelpulse.functions import scalar as S
 from modelpulse.operators import images as I
 from modelpulse.operators import notebooks as N
+from modelpulse.operators import requests as R
 from modelpulse.operators import traces as TR
 from modelpulse.sources import artifacts as A
 from modelpulse.sources import exposition as X
@@ -42,9 +43,16 @@ def test_traces_skip_lines_without_request(spark):
 
 def test_exposition_roundtrip_and_escapes(spark, tmp_path):
     values = spark.createDataFrame([('/a"b', 3)], "endpoint string, value bigint")
-    lines = X.header_lines(spark, "m_total", "help", "counter").unionByName(X.value_lines(values, "m_total", ["endpoint"]))
-    X.write_exposition(lines.unionByName(spark.createDataFrame([("",)], "value string")), str(tmp_path / "x"))
-    read = spark.read.text(str(tmp_path / "x"))
+    lines = X.value_lines(values, "m_total", ["endpoint"]).unionByName(X.header_lines(spark, "m_total", "help", "counter"))
+    hist = R.histogram(spark.createDataFrame([(7.0,)], "v double"), [], "v", [2.0, 10.0])
+    X.write_exposition(X.histogram_lines(hist, "a_seconds", []).unionByName(lines), str(tmp_path / "x"))
+    page = "".join(p.read_text() for p in sorted((tmp_path / "x").glob("part-*"))).splitlines()
+    assert page == [
+        'a_seconds_bucket{le="2.0"} 0.0', 'a_seconds_bucket{le="10.0"} 1.0', 'a_seconds_bucket{le="+Inf"} 1.0',
+        "a_seconds_count 1.0", "a_seconds_sum 7.0",
+        "# HELP m_total help", "# TYPE m_total counter", 'm_total{endpoint="/a\\"b"} 3.0',
+    ]
+    read = spark.read.text(str(tmp_path / "x")).where("value not like 'a_%'").unionByName(spark.createDataFrame([("",)], "value string"))
     assert [r["value"] for r in X.first_samples(read).collect()] == ['m_total{endpoint="/a\\"b"} 3.0']
     row = X.parse_samples(read).first()
     assert (row["metric"], row["sample_value"]) == ("m_total", 3.0)
