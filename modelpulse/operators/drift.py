@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelpulse.operators.ordered import exact_quantiles, running
+from modelpulse.operators.ordered import exact_quantiles, order_blocks, running
 
 PSI_ALERT = 0.2
 BINS = 10
@@ -55,8 +55,9 @@ def kolmogorov_smirnov(df: DataFrame, is_reference: Column, value: str, digits:
         .groupBy(value)
         .agg(F.count_if(is_reference).alias("_r"), F.count_if(~is_reference).alias("_c"))
     )
+    counts = order_blocks(counts, [], [value])
     cum = running(counts, [], [value], {"_cr": ("sum", "_r"), "_cc": ("sum", "_c")})
-    sizes = cum.agg(F.sum("_r"), F.sum("_c")).first()
+    sizes = counts.agg(F.sum("_r"), F.sum("_c")).first()
     n, m = sizes[0] or 0, sizes[1] or 0
     if not n or not m:
         raise ValueError("both windows need values")

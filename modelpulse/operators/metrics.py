@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelpulse.operators.ordered import join_null_safe, running
+from modelpulse.operators.ordered import join_null_safe, order_blocks, running
 from modelpulse.session import literal_table
 
 
@@ -144,6 +144,7 @@ def best_gini_splits(
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])
     long = df.select(F.col(label).alias("_y"), F.inline(pairs)).where(F.col("v").isNotNull())
     counted = long.groupBy("feature", "v").agg(*[F.count_if(F.col("_y") == c).alias(f"n{c}") for c in classes])
+    counted = order_blocks(counted, ["feature"], ["v"])
     left = running(counted, ["feature"], ["v"], {f"l{c}": ("sum", f"n{c}") for c in classes})
     totals = counted.groupBy("feature").agg(*[F.sum(f"n{c}").alias(f"t{c}") for c in classes])
     joined = join_null_safe(left, totals, ["feature"])

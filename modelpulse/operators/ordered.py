@@ -12,6 +12,7 @@ evaluation could sample other range bounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -123,12 +124,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     gathered in one task, unlike the built-in exact percentile.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = order_blocks(counts, keys, [value])
     cum = running(counts, keys, [value], {"_cum": ("sum", "_c")})
+    # Sizes come from the pinned counts, not from the scan, which would then run twice.
     if keys:
-        sizes = cum.groupBy(*keys).agg(F.max("_cum").alias("_n"))
+        sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
         cum = join_null_safe(cum, sizes, list(keys))
     else:
-        size = cum.agg(F.max("_cum")).first()[0] or 0
+        size = counts.agg(F.sum("_c")).first()[0] or 0
         cum = cum.withColumn("_n", F.lit(size))
     parts = []
     for i, p in enumerate(probs.values()):
@@ -149,21 +152,23 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
 
 def first_n_by_hash(
-    df: DataFrame, keys: Sequence[str], hash_col: str, id_col: str, take: DataFrame, bits: int = 32, coarse_bits: int = 16
+    df: DataFrame, keys: Sequence[str], hash_col: str, id_col: str, share: float, bits: int = 32, coarse_bits: int = 16
 ) -> DataFrame:
-    """Per key, the exact (hash, id) threshold below which lie ``take.n_take`` rows.
+    """Per key, the exact (hash, id) threshold below which lie ceil(share x size of the key) rows.
 
     Counts per coarse hash bucket locate the bucket that holds the threshold, and only that
-    bucket's rows are ranked. ``take`` has one row per key. Returns keys, ``h_max``, ``id_max``.
+    bucket's rows are ranked. Returns keys, ``h_max``, ``id_max``.
     """
     coarse = F.shiftright(F.col(hash_col), bits - coarse_bits)
     hist = df.groupBy(*keys, coarse.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     # At most 2**coarse_bits rows per key, whatever the size of the key.
     upto = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(upto))
+    whole = F.sum("_c").over(Window.partitionBy(*keys))
+    # In decimals, since 0.28 * 2500 is a little above 700 in binary.
+    n_take = F.ceil(whole * F.lit(Decimal(str(share)))).cast("bigint")
+    hist = hist.select("*", F.sum("_c").over(upto).alias("_cum"), n_take.alias("n_take"))
     edge = (
-        join_null_safe(hist, take, keys)
-        .where((F.col("_cum") >= F.col("n_take")) & (F.col("_cum") - F.col("_c") < F.col("n_take")))
+        hist.where((F.col("_cum") >= F.col("n_take")) & (F.col("_cum") - F.col("_c") < F.col("n_take")))
         .select(*keys, F.col("_b").alias("_edge"), (F.col("n_take") - F.col("_cum") + F.col("_c")).alias("_need"))
     )
     at_edge = join_null_safe(df.select(*keys, hash_col, id_col), edge, keys).where(coarse == F.col("_edge"))

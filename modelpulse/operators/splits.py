@@ -36,8 +36,7 @@ def stratified_holdout(
     split itself is a filter against one threshold row per class.
     """
     hashed = df.select(label, key).withColumn("_h", hash32(F.col(key), seed))
-    take = hashed.groupBy(label).agg(F.ceil(F.count(F.lit(1)) * F.lit(test_share)).cast("bigint").alias("n_take"))
-    limits = first_n_by_hash(hashed, [label], "_h", key, take)
+    limits = first_n_by_hash(hashed, [label], "_h", key, test_share)
     joined = join_null_safe(df.withColumn("_h", hash32(F.col(key), seed)), limits, [label], "left")
     below = (F.col("_h") < F.col("h_max")) | ((F.col("_h") == F.col("h_max")) & (F.col(key) <= F.col("id_max")))
     return joined.withColumn("is_test", F.coalesce(below, F.lit(False))).drop("_h", "h_max", "id_max")

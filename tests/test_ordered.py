@@ -64,11 +64,12 @@ def test_exact_quantiles(skewed):
 
 def test_hash_threshold_is_exact(spark):
     df = spark.range(5000).select("id", (F.col("id") % 2).alias("k"), F.pmod(F.xxhash64("id"), F.lit(2**32)).alias("h"))
-    take = spark.createDataFrame([(0, 700), (1, 1)], "k bigint, n_take bigint")
-    for row in first_n_by_hash(df, ["k"], "h", "id", take).collect():
-        hashes = sorted((r["h"], r["id"]) for r in df.where(F.col("k") == row["k"]).collect())
-        wanted = {0: 700, 1: 1}[row["k"]]
-        assert (row["h_max"], row["id_max"]) == hashes[wanted - 1]
+    for share, wanted in ((0.28, 700), (0.0001, 1), (1.0, 2500)):
+        limits = first_n_by_hash(df, ["k"], "h", "id", share).collect()
+        assert len(limits) == 2
+        for row in limits:
+            hashes = sorted((r["h"], r["id"]) for r in df.where(F.col("k") == row["k"]).collect())
+            assert (row["h_max"], row["id_max"]) == hashes[wanted - 1]
 
 
 def test_splits_do_not_depend_on_partitioning(spark):
