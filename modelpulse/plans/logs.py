@@ -14,12 +14,12 @@ from modelpulse.session import scratch_path
 from modelpulse.sources import artifacts as A
 from modelpulse.sources import exposition as X
 from modelpulse.sources import logs as L
-from modelpulse.sources.tables import load, load_texts, requests
+from modelpulse.sources.tables import load, load_texts, requests, requests_from_events
 
 
 def _records(spark, sf_dir):
     """One log record per request; every tenth line has no request id, levels come in mixed forms."""
-    log = requests(spark, sf_dir)
+    log = requests_from_events(load_texts(spark, sf_dir, "events"))
     k = F.col("k")
     failed = F.col("error_type").isNotNull()
     record = L.log_record(
