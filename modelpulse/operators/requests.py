@@ -36,6 +36,11 @@ def successful(results: DataFrame) -> DataFrame:
     return results.where(succeeded())
 
 
+def mean_of(total: str, count: str, digits: int = 6) -> Column:
+    """Mean from a sum, 0 without rows; the sum sheds its last digits, which depend on the order of summation."""
+    return F.coalesce(F.round(F.try_divide(F.round(total, digits), count), digits), F.lit(0.0))
+
+
 def request_summary(requests: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Totals, success rate and mean latency of the successes; zeros on an empty log."""
     ok = succeeded()
@@ -51,7 +56,7 @@ def request_summary(requests: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         "successful",
         "failed",
         S.success_rate(F.col("successful"), F.col("total")).alias("success_rate"),
-        F.coalesce(F.round(F.try_divide("_sum", "successful"), 6), F.lit(0.0)).alias("avg_latency_ms"),
+        mean_of("_sum", "successful").alias("avg_latency_ms"),
         F.coalesce(F.round("_sum", 2), F.lit(0.0)).alias("total_latency_ms"),
     )
 
@@ -93,7 +98,7 @@ def request_and_latency_summary(requests: DataFrame, keys: Sequence[str]) -> Dat
         "successful",
         "failed",
         S.success_rate(F.col("successful"), F.col("total")).alias("success_rate"),
-        F.coalesce(F.round(F.try_divide("_sum", "successful"), 6), F.lit(0.0)).alias("avg_latency_ms"),
+        mean_of("_sum", "successful").alias("avg_latency_ms"),
         F.coalesce(F.round("_sum", 2), F.lit(0.0)).alias("total_latency_ms"),
         "min_latency_ms",
         "max_latency_ms",

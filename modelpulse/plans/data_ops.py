@@ -250,7 +250,8 @@ def raw_event_lines(spark, sf_dir):
         """
 SELECT strftime(ts, '%Y-%m-%d %H') AS hour, endpoint, count(*) AS total, count(*) FILTER (status = 200) AS successful,
        count(*) FILTER (status <> 200) AS failed, round(100.0 * count(*) FILTER (status = 200) / count(*), 2) AS success_rate,
-       coalesce(CAST(round(CAST(CAST(avg(latency_ms) FILTER (status = 200) AS VARCHAR) AS DECIMAL(38, 24)), 6) AS DOUBLE), 0.0) AS avg_latency_ms,
+       coalesce(CAST(round(CAST(CAST(round(sum(latency_ms) FILTER (status = 200), 6) / count(*) FILTER (status = 200) AS VARCHAR)
+                                     AS DECIMAL(38, 24)), 6) AS DOUBLE), 0.0) AS avg_latency_ms,
        coalesce(round(sum(latency_ms) FILTER (status = 200), 2), 0.0) AS total_latency_ms
 FROM requests GROUP BY 1, 2"""
     )
