@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelpulse.operators.ordered import join_null_safe, order_blocks, running
+from modelpulse.operators.ordered import join_totals, order_blocks, running
 from modelpulse.session import literal_table
 
 
@@ -147,7 +147,7 @@ def best_gini_splits(
     counted = order_blocks(counted, ["feature"], ["v"])
     left = running(counted, ["feature"], ["v"], {f"l{c}": ("sum", f"n{c}") for c in classes})
     totals = counted.groupBy("feature").agg(*[F.sum(f"n{c}").alias(f"t{c}") for c in classes])
-    joined = join_null_safe(left, totals, ["feature"])
+    joined = join_totals(left, totals, ["feature"])
 
     def gini(parts, size):
         squares = F.lit(0.0)

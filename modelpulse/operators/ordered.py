@@ -3,7 +3,8 @@
 A plain window over ``partitionBy(key)`` sorts a whole key in a single task, which fails when one
 key holds a third of the rows. Here the rows are range-partitioned on (keys, order), so a hot key
 is cut into consecutive blocks. Each block is scanned on its own, and the blocks' totals, at most
-one row per key plus one per block, are scanned in turn to give every block its starting value.
+one row per key plus one per block, are scanned in turn to give a block the starting value of the
+key that runs on into it.
 
 The range-partitioned rows are checkpointed because the block numbers are used twice and a second
 evaluation could sample other range bounds.
@@ -25,6 +26,8 @@ BLOCK = "_block"
 SEQ = "_seq"
 # monotonically_increasing_id keeps the row's place within its partition in the lower 33 bits.
 _ROW_BITS = 33
+# Rows of a per-key table (keys and a few numbers, about 100 bytes each) that may be broadcast.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -37,6 +40,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def join_totals(
+    left: DataFrame, totals: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Join a table of one row per key, broadcast when its counted rows are few.
+
+    The planner cannot foresee how small an aggregate gets and would shuffle ``left`` by the keys,
+    all rows of a hot key to one place. Beyond ``max_rows`` there are many keys, and a shuffle is right.
+    """
+    totals = pin(totals)
+    return join_null_safe(left, F.broadcast(totals) if totals.count() <= max_rows else totals, keys, how)
+
+
 def order_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None
 ) -> DataFrame:
@@ -53,8 +68,18 @@ def order_blocks(
 
 
 def _block_offsets(totals: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+    """Starting values of the blocks in which a key goes on from an earlier one.
+
+    A block border cuts one key at most, so there are fewer rows than blocks, whatever the number of keys.
+    """
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*keys, BLOCK, *[agg.over(earlier).alias(f"_off_{out}") for out, agg in aggs.items()])
+    started = totals.select(
+        *keys,
+        BLOCK,
+        F.count(F.lit(1)).over(earlier).alias("_earlier"),
+        *[agg.over(earlier).alias(f"_off_{out}") for out, agg in aggs.items()],
+    )
+    return started.where(F.col("_earlier") > 0).drop("_earlier")
 
 
 def running(
@@ -95,7 +120,8 @@ def running(
     local = ranged.select("*", *[scan[kind](c).over(inside).alias(f"_in_{out}") for out, (kind, c) in specs.items()])
     totals = ranged.groupBy(*keys, BLOCK).agg(*[whole[kind](c).alias(f"_t_{out}") for out, (kind, c) in specs.items()])
     offsets = _block_offsets(totals, keys, {out: scan[kind](f"_t_{out}") for out, (kind, _) in specs.items()})
-    joined = join_null_safe(local, offsets, [*keys, BLOCK])
+    # Bounded by the number of blocks, so always small enough to broadcast.
+    joined = join_null_safe(local, F.broadcast(offsets), [*keys, BLOCK], "left")
     base = [c for c in df.columns if c not in (BLOCK, SEQ)]
     extra = [BLOCK, SEQ] if keep_blocks else []
     return joined.select(
@@ -113,7 +139,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
     starts = starts.select(
         *keys, BLOCK, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    joined = join_null_safe(ranged, starts, [*keys, BLOCK])
+    joined = join_totals(ranged, starts, [*keys, BLOCK])
     return joined.select(*df.columns, (F.col(SEQ) + F.col("_shift")).alias(out))
 
 
@@ -129,7 +155,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     # Sizes come from the pinned counts, not from the scan, which would then run twice.
     if keys:
         sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-        cum = join_null_safe(cum, sizes, list(keys))
+        cum = join_totals(cum, sizes, list(keys))
     else:
         size = counts.agg(F.sum("_c")).first()[0] or 0
         cum = cum.withColumn("_n", F.lit(size))
@@ -171,7 +197,7 @@ def first_n_by_hash(
         hist.where((F.col("_cum") >= F.col("n_take")) & (F.col("_cum") - F.col("_c") < F.col("n_take")))
         .select(*keys, F.col("_b").alias("_edge"), (F.col("n_take") - F.col("_cum") + F.col("_c")).alias("_need"))
     )
-    at_edge = join_null_safe(df.select(*keys, hash_col, id_col), edge, keys).where(coarse == F.col("_edge"))
+    at_edge = join_totals(df.select(*keys, hash_col, id_col), edge, keys).where(coarse == F.col("_edge"))
     by_hash = Window.partitionBy(*keys).orderBy(hash_col, id_col)
     return (
         at_edge.withColumn("_rn", F.row_number().over(by_hash))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelpulse.functions.scalar import hash32
-from modelpulse.operators.ordered import first_n_by_hash, join_null_safe, positions
+from modelpulse.operators.ordered import first_n_by_hash, join_totals, positions
 
 # Seed, test share and fold count.
 SEED = 42
@@ -37,7 +37,7 @@ def stratified_holdout(
     """
     hashed = df.select(label, key).withColumn("_h", hash32(F.col(key), seed))
     limits = first_n_by_hash(hashed, [label], "_h", key, test_share)
-    joined = join_null_safe(df.withColumn("_h", hash32(F.col(key), seed)), limits, [label], "left")
+    joined = join_totals(df.withColumn("_h", hash32(F.col(key), seed)), limits, [label], "left")
     below = (F.col("_h") < F.col("h_max")) | ((F.col("_h") == F.col("h_max")) & (F.col(key) <= F.col("id_max")))
     return joined.withColumn("is_test", F.coalesce(below, F.lit(False))).drop("_h", "h_max", "id_max")
 
@@ -46,7 +46,7 @@ def contiguous_folds(df: DataFrame, label: str, order: Sequence[str], k: int = F
     """Folds of consecutive rows within each class, as an unshuffled stratified k-fold makes them."""
     placed = positions(df, [label], order, out="_p")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    joined = join_null_safe(placed, sizes, [label])
+    joined = join_totals(placed, sizes, [label])
     small, larger = F.floor(F.col("_n") / k), F.col("_n") % k
     border = larger * (small + 1)
     fold = F.when(F.col("_p") < border, F.floor(F.col("_p") / (small + 1))).otherwise(
