@@ -13,7 +13,7 @@ from modelpulse.operators.scoring import score_in_batches
 from modelpulse.plans.medallion import RAW_SCHEMA
 from modelpulse.session import scratch_path
 
-# Our choice: the reference counters never expire, a stream needs bounds for late data.
+# Our choice: lifetime counters never expire, windowed ones need a bound for late data.
 WATERMARK = "10 minutes"
 WIDTH = "1 hour"
 
