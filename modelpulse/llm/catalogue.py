@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from modelpulse.llm import byte_bpe, line_dedup, near_dedup, quality  # noqa: F401
+from modelpulse.llm import byte_bpe, decontamination, line_dedup, near_dedup, quality  # noqa: F401
 from modelpulse.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
