@@ -41,12 +41,17 @@ SHARD_WORDS = 500_000
 HITS = "hits array<struct<item_id:bigint,score:double,question_overlap:double,answer_overlap:double>>"
 
 
+def _lower(texts: list[str | None]) -> list[str]:
+    """Texts in lower case in all scripts, so that capitals hide nothing."""
+    return [(t or "").lower() for t in texts]
+
+
 def item_words(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``item_id``, ``words`` (hashes in order). Items without an id or without words are left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parsed = read(batch.column(1).to_pylist(), lower=True, gap=is_separator)
+            parsed = read(_lower(batch.column(1).to_pylist()), gap=is_separator)
             hashes = signed(parsed.word_hashes())
             words = [hashes[a:b].tolist() for a, b in zip(parsed.first, parsed.first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64()))], names=["item_id", "words"])
@@ -184,7 +189,7 @@ def _candidates(batch: Batch, hashes: np.ndarray, index: Index) -> Iterator[tupl
 
 def batch_hits(texts: list[str | None], index: Index) -> list[list[dict]]:
     """Per text its verified items, best passage first."""
-    batch = read(texts, lower=True, gap=is_separator)
+    batch = read(_lower(texts), gap=is_separator)
     hashes = batch.word_hashes()
     best: dict[tuple[int, int], tuple[float, float, float]] = {}
     for doc, start, end, terms in _candidates(batch, hashes, index):
