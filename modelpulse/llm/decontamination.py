@@ -15,6 +15,7 @@ may grow without a limit.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,11 @@ MIN_SHARE = 0.5
 MIN_OVERLAP = 0.5
 GRAM = 3
 K1, B = 1.2, 0.75
+# Postings in a block of a list, and pieces in a block that all lists share.
 BLOCK = 32
+SHARED = 4
+# Cells (window and block) that are bounded at a time.
+CELLS = 4_000_000
 # Words of all items in a shard: some 60 bytes each in the index.
 SHARD_WORDS = 500_000
 
@@ -82,7 +87,9 @@ class Index:
     """A shard: terms in order of hash, and per term its postings in order of the piece, in blocks with maxima."""
 
     def __init__(self, postings: list[tuple[int, int, int, float]], words: dict[int, list[int]]):
-        pieces = sorted({(i, p) for i, p, _, _ in postings})
+        # Pieces of similar length are neighbours: their weights are alike, so that block maxima are tight.
+        sizes = Counter((i, p) for i, p, _, _ in postings)
+        pieces = sorted(sizes, key=lambda k: (sizes[k], k))
         number = {k: n for n, k in enumerate(pieces)}
         self.item = [i for i, _ in pieces]
         rows = sorted((t & 0xFFFFFFFFFFFFFFFF, number[i, p], w) for i, p, t, w in postings)
@@ -93,6 +100,15 @@ class Index:
         self.weights = [[r[2] for r in rows[a:b]] for a, b in zip(edges, edges[1:])]
         self.maxima = [[max(w[k : k + BLOCK]) for k in range(0, len(w), BLOCK)] for w in self.weights]
         self.most = np.array([max(m) for m in self.maxima])
+        # The same maxima for the vectorised bound, in blocks of pieces that all terms share: those of term t are
+        # shared_max[shared_at[t] : shared_at[t + 1]].
+        self.blocks = -(-len(pieces) // SHARED)
+        term = np.searchsorted(self.terms, terms)
+        cell, at = np.unique(term * max(1, self.blocks) + np.array([r[1] // SHARED for r in rows], dtype=np.int64), return_inverse=True)
+        self.shared_max = np.zeros(len(cell))
+        np.maximum.at(self.shared_max, at, np.array([r[2] for r in rows]))
+        self.shared_block = cell % max(1, self.blocks)
+        self.shared_at = np.searchsorted(cell, np.arange(len(self.terms) + 1) * max(1, self.blocks))
         self.words = words
         self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -176,14 +192,20 @@ def _candidates(batch: Batch, hashes: np.ndarray, index: Index) -> Iterator[tupl
     start = batch.first[doc] + STRIDE * (np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts))
     end = np.minimum(start + WINDOW, batch.first[doc + 1])
     likely = np.flatnonzero(total[end] - total[start] >= MIN_SHARE - 1e-6)
-    for part in np.array_split(likely, len(likely) // 20_000 + 1):
+    for part in np.array_split(likely, len(likely) * index.blocks // CELLS + len(likely) // 20_000 + 1):
         place = start[part, None] + np.arange(WINDOW)
         inside = place < end[part, None]
         terms = np.sort(np.where(inside, term[np.minimum(place, len(term) - 1)], -1), axis=1)
         new = terms >= 0
         new[:, 1:] &= terms[:, 1:] != terms[:, :-1]
-        reach = np.where(new, index.most[np.maximum(terms, 0)], 0.0).sum(axis=1) >= MIN_SHARE - 1e-6
-        for k in np.flatnonzero(reach):
+        # What the terms of a window add up to at most in each block of pieces.
+        window, column = np.nonzero(new)
+        held = terms[window, column]
+        size = index.shared_at[held + 1] - index.shared_at[held]
+        entry = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - index.shared_at[held], size)
+        cell = np.repeat(window * index.blocks, size) + index.shared_block[entry]
+        reach = np.bincount(cell, weights=index.shared_max[entry], minlength=len(part) * index.blocks)
+        for k in np.flatnonzero((reach >= MIN_SHARE - 1e-6).reshape(len(part), index.blocks).any(axis=1)):
             yield int(doc[part[k]]), int(start[part[k]]), int(end[part[k]]), terms[k][new[k]].tolist()
 
 
