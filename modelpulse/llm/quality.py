@@ -141,10 +141,10 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         t = orders[n]
         few = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
         d = t.groupBy("lang").agg(*few)
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
 
         def discount(i: int):
-            value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
+            value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0))
             usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{i}") > 0)
             return F.when(usable & (value > 0) & (value < i), value).otherwise(0.5).alias(f"d{i}")
 
@@ -368,7 +368,7 @@ def perplexity_bands(scored: DataFrame, lang_col: str | None = "lang", spreads:
     lang = language(scored, lang_col)
     bins = (
         scored.where(~base_failed() & (F.col("n_grams") > 0))
-        .groupBy(lang.alias("_band_lang"), F.floor(F.col("micronats") / F.col("n_grams") * (BINS_PER_NAT / MICRO)).alias("b"))
+        .groupBy(lang.alias("_band_lang"), F.floor(F.col("micronats") / F.nullif(F.col("n_grams"), F.lit(0)) * (BINS_PER_NAT / MICRO)).alias("b"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
 
@@ -392,7 +392,7 @@ def judge(scored: DataFrame, bands: DataFrame, lang_col: str | None = "lang") ->
     Kept are texts that pass the base rules and lie within the bands of their language; a text without
     n-grams fails the base rules by its few words.
     """
-    mean = F.col("micronats") / F.col("n_grams") / MICRO
+    mean = F.col("micronats") / F.nullif(F.col("n_grams"), F.lit(0)) / MICRO
     error = ERRORS * DEVIATION / F.sqrt(F.greatest("n_grams", F.lit(1)))
     joined = scored.withColumn("_own", language(scored, lang_col)).join(bands, F.col("_own") == F.col("_band_lang"), "left")
     joined = joined.withColumn("base_failed", base_failed()).withColumn("log_perplexity", F.when(F.col("n_grams") > 0, mean))
