@@ -34,10 +34,10 @@ MAX_REPEATED_PERCENT = 30
 REPEAT_WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 # Bands: so many spreads from the median, and so many standard errors of a text's own mean.
-SPREADS = 8.0
-ERRORS = 5.0
+SPREADS = 6.0
+ERRORS = 3.0
 # Standard deviation of the surprise of one n-gram in nats, for the error of a mean.
-DEVIATION = 2.0
+DEVIATION = 1.5
 MIN_SPREAD = 0.02
 BINS_PER_NAT = 200
 MICRO = 1_000_000
