@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 
 from modelpulse.llm.registry import query
 from modelpulse.llm.text import Batch, RangeHash, bounded_batches, documents, is_space, mix64, read, signed, windows
+from modelpulse.operators.ordered import join_totals
 from modelpulse.session import pin
 
 ORDER = 4
@@ -394,10 +395,11 @@ def judge(scored: DataFrame, bands: DataFrame, lang_col: str | None = "lang") ->
     """
     mean = F.col("micronats") / F.nullif(F.col("n_grams"), F.lit(0)) / MICRO
     error = ERRORS * DEVIATION / F.sqrt(F.greatest("n_grams", F.lit(1)))
-    joined = scored.withColumn("_own", language(scored, lang_col)).join(bands, F.col("_own") == F.col("_band_lang"), "left")
+    # One row per language: sent to the texts if counted few, so that a language is not gathered in one task.
+    joined = join_totals(scored.withColumn("_band_lang", language(scored, lang_col)), bands, ["_band_lang"], "left")
     joined = joined.withColumn("base_failed", base_failed()).withColumn("log_perplexity", F.when(F.col("n_grams") > 0, mean))
     inside = (F.col("log_perplexity") >= F.col("low") - error) & (F.col("log_perplexity") <= F.col("high") + error)
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_own", "_band_lang", "low", "high")
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_band_lang", "low", "high")
 
 
 def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
