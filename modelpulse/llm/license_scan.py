@@ -188,7 +188,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     new = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections")
     keep = [c for c in docs.columns if c not in new]
-    rows = docs.select(*keep, normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_norm"))
+    rows = docs.select((F.struct(*keep) if keep else F.lit(0)).alias("_doc"), normalised(F.coalesce(F.col(text_col), F.lit(""))).alias("_norm"))
     norm = F.col("_norm")
     rows = rows.withColumn("n_words", F.greatest(_spaces(norm) - 1, F.lit(0).cast("bigint")))
     rows = rows.select("*", *[_places(norm, F.col("n_words"), phrase).alias(f"_p{i}") for i, (phrase, _) in enumerate(BASE)])
@@ -202,7 +202,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text") -> DataFrame:
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     best = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0)) / 100
     return rows.select(
-        *keep,
+        *[F.col("_doc").getField(c).alias(c) for c in keep],
         "n_words",
         n.alias("n_base"),
         F.least(*[F.col(f"_p{i}.first") for i in range(len(BASE))]).alias("first_word"),

@@ -63,13 +63,19 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", min_documents:
         F.col("text_key").alias("_key"), F.col("drops").alias("_drops")
     )
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*keep, _pair(text).alias("_row")).join(drops, F.col("_row") == F.col("_key"), "left")
-    lines = F.split(text, "\n", -1)
-    joined = joined.withColumn("n_lines", F.size(lines).cast("bigint"))
-    joined = joined.withColumn("n_dropped", F.coalesce(F.size("_drops"), F.lit(0)).cast("bigint"))
-    places = F.array_except(F.sequence(F.lit(0), (F.col("n_lines") - 1).cast("int")), F.col("_drops"))
-    rest = F.array_join(F.transform(places, lambda i: F.element_at(lines, i + 1)), "\n")
-    return joined.withColumn(text_col, F.when(F.col("n_dropped") > 0, rest).otherwise(text)).drop("_row", "_key", "_drops")
+    # The row travels as one column, so that none of its names can clash.
+    rows = docs.select(F.struct(*keep).alias("_doc"), _pair(text).alias("_row"))
+    joined = rows.join(drops, F.col("_row") == F.col("_key"), "left")
+    whole = F.coalesce(F.col("_doc").getField(text_col), F.lit(""))
+    joined = joined.select("_doc", "_drops", whole.alias("_text"), F.split(whole, "\n", -1).alias("_lines"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))
+    rest = F.array_join(F.transform(places, lambda i: F.element_at("_lines", i + 1)), "\n")
+    kept = F.when(F.col("_drops").isNotNull(), rest).otherwise(F.col("_text"))
+    return joined.select(
+        *[(kept if c == text_col else F.col("_doc").getField(c)).alias(c) for c in keep],
+        F.size("_lines").cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("_drops"), F.lit(0)).cast("bigint").alias("n_dropped"),
+    )
 
 
 SQL = r"""

@@ -243,7 +243,8 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int,
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` but those whose document is not the smallest id of its component."""
     gone = near_duplicates(docs, id_col, text_col, percent, words).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti")
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("bigint").alias("_own"))
+    return rows.join(gone, F.col("_own") == F.col("_gone"), "left_anti").select("_doc.*")
 
 
 @query()

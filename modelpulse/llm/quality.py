@@ -293,9 +293,19 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang"
     bounded_batches(docs.sparkSession)
     model = pin(kneser_ney(count_ngrams(docs, text_col, lang_col)) if model is None else model)
     others = [c for c in docs.columns if c not in SCORED and c != text_col]
+    # The other columns travel as one, so that none of their names can clash with those used here.
+    packed = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_none"))
+    rows = docs.select(F.col(text_col).alias("_text"), language(docs, lang_col).alias("_lang"), packed.alias("_others"))
     if model.count() > MAX_SHIPPED:
-        return _score_by_join(docs, text_col, lang_col, model, others)
-    shipped = docs.sparkSession.sparkContext.broadcast(collect_models(model))
+        scored = _score_by_join(rows, model)
+    else:
+        scored = _score_by_arrays(rows, model)
+    return scored.select(*[F.col("_others").getField(c).alias(c) for c in others], *SCORED)
+
+
+def _score_by_arrays(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """``_others`` and the scores, by the models of all languages in every task."""
+    shipped = rows.sparkSession.sparkContext.broadcast(collect_models(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, empty = shipped.value, Arrays.of(*[np.zeros(0, dtype=np.int64)] * 4)
@@ -314,14 +324,13 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang"
                 total = np.concatenate(([0], np.cumsum(cost)))
                 micro += np.where(known == lang, total[last] - total[last - lengths], 0)
             result |= {"n_grams": lengths.astype(np.int64), "micronats": micro}
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *[pa.array(result[c]) for c in SCORED]], names=[*others, *SCORED])
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *[pa.array(result[c]) for c in SCORED]], names=["_others", *SCORED])
 
-    rows = docs.select(F.col(text_col).alias("_text"), language(docs, lang_col).alias("_lang"), *others)
-    fields = [f.simpleString().replace(f.name, f"`{f.name}`", 1) for f in docs.select(*others).schema.fields]
-    return rows.mapInArrow(work, ", ".join([*fields, *[f"{c} bigint" for c in SCORED]]))
+    kind = rows.schema["_others"].dataType.simpleString()
+    return rows.mapInArrow(work, ", ".join([f"_others {kind}", *[f"{c} bigint" for c in SCORED]]))
 
 
-def _score_by_join(docs: DataFrame, text_col: str, lang_col: str | None, model: DataFrame, others: list[str]) -> DataFrame:
+def _score_by_join(rows: DataFrame, model: DataFrame) -> DataFrame:
     """The same for models too large to send: each text's different n-grams are joined to the costs.
 
     The model counts the texts themselves, so that all n-grams of the highest order are found.
@@ -337,12 +346,11 @@ def _score_by_join(docs: DataFrame, text_col: str, lang_col: str | None, model:
             lists = [pa.array([list(map(int, signed(k))) for k, _ in pairs], pa.list_(pa.int64())), pa.array([list(map(int, c)) for _, c in pairs], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *[pa.array(stats[c]) for c in BASE], pa.array(lengths.astype(np.int64)), *lists],
-                names=["_lang", *others, *BASE, "n_grams", "_grams", "_counts"],
+                names=["_lang", "_others", *BASE, "n_grams", "_grams", "_counts"],
             )
 
-    rows = docs.select(F.col(text_col).alias("_text"), language(docs, lang_col).alias("_lang"), *others)
-    fields = [f.simpleString().replace(f.name, f"`{f.name}`", 1) for f in docs.select(*others).schema.fields]
-    schema = ", ".join(["_lang string", *fields, *[f"{c} bigint" for c in [*BASE, "n_grams"]], "_grams array<bigint>", "_counts array<bigint>"])
+    kind = rows.schema["_others"].dataType.simpleString()
+    schema = ", ".join(["_lang string", f"_others {kind}", *[f"{c} bigint" for c in [*BASE, "n_grams"]], "_grams array<bigint>", "_counts array<bigint>"])
     counted = pin(rows.mapInArrow(work, schema).withColumn("_row", F.monotonically_increasing_id()))
     long = counted.select("_row", "_lang", F.explode(F.arrays_zip("_grams", "_counts")).alias("z"))
     costs = model.where(F.col("n") == ORDER).select(F.col("lang").alias("_lang"), F.col("gram").alias("g"), "cost")
@@ -353,7 +361,7 @@ def _score_by_join(docs: DataFrame, text_col: str, lang_col: str | None, model:
         .agg(F.sum(F.col("c") * F.col("cost")).alias("micronats"))
     )
     joined = counted.drop("_grams", "_counts", "_lang").join(sums, "_row", "left")
-    return joined.withColumn("micronats", F.coalesce("micronats", F.lit(0))).select(*others, *SCORED)
+    return joined.withColumn("micronats", F.coalesce("micronats", F.lit(0))).select("_others", *SCORED)
 
 
 def base_failed():

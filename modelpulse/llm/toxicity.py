@@ -122,6 +122,8 @@ class Chain:
 
     @classmethod
     def fit(cls, categories: list[str], x: Sparse, y: np.ndarray, fold: np.ndarray) -> Chain:
+        if not len(y):
+            return cls(categories, [np.zeros((1 << BITS) + k + 1) for k in range(len(categories))], 2.0)
         models: list[np.ndarray] = []
         dense = np.zeros((len(y), 0))
         for k in range(len(categories)):
@@ -132,15 +134,15 @@ class Chain:
                 if len(train) and len(test):
                     unseen[test] = predict(x.rows(test), dense[test], fit_logistic(x.rows(train), dense[train], y[train, k]))
             dense = np.column_stack((dense, unseen))
-        return cls(categories, models, best_threshold(dense[:, -1], y[:, -1]) if len(y) else 2.0)
+        return cls(categories, models, best_threshold(dense[:, -1], y[:, -1]))
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
-        """A row of probabilities per text."""
+    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of probabilities per text, and which texts are flagged; a text without words is not."""
         x = features(texts)
         dense = np.zeros((len(texts), 0))
         for w in self.models:
             dense = np.column_stack((dense, predict(x, dense, w)))
-        return dense
+        return dense, (dense[:, -1] >= self.threshold) & (np.diff(x.edges) > 0)
 
 
 def best_threshold(score: np.ndarray, label: np.ndarray) -> float:
@@ -190,16 +192,16 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], id_col:
 def flag_toxic(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, the probabilities of all categories, and ``toxic``: the last one reaches its threshold.
 
-    One row per row of ``docs``, also for null and repeated ids; a null text has no features.
+    One row per row of ``docs``, also for null and repeated ids; a null text has no features
+    and is never toxic.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(fit_chain(docs, labels, categories, id_col, text_col))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = shipped.value.score(batch.column(1).to_pylist())
+            p, flagged = shipped.value.score(batch.column(1).to_pylist())
             columns = [pa.array(np.ascontiguousarray(p[:, k])) for k in range(p.shape[1])]
-            flags = pa.array(p[:, -1] >= shipped.value.threshold)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, flags], names=["doc_id", *[f"p_{c}" for c in categories], "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(flagged)], names=["doc_id", *[f"p_{c}" for c in categories], "toxic"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *[f"`p_{c}` double" for c in categories], "toxic boolean"])
