@@ -41,6 +41,12 @@ def standardise(values: Column, mean: Sequence[float] = CHANNEL_MEAN, std: Seque
     return F.zip_with(F.zip_with(values, m, lambda x, a: x.cast("double") - a), s, lambda x, b: x / b)
 
 
+def standardise_interleaved(values: Column, mean: Sequence[float] = CHANNEL_MEAN, std: Sequence[float] = CHANNEL_STD) -> Column:
+    """(x - mean) / std of any number of values whose channels alternate."""
+    m, s, n = F.array(*map(F.lit, mean)), F.array(*map(F.lit, std)), len(mean)
+    return F.transform(values, lambda x, i: (x.cast("double") - F.element_at(m, i % n + 1)) / F.element_at(s, i % n + 1))
+
+
 def argmax(values: Column) -> Column:
     """0-based position of the largest value, the first one on ties."""
     return F.array_position(values, F.array_max(values)) - 1

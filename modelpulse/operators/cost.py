@@ -12,13 +12,14 @@ from pyspark.sql.window import Window
 def cost_by_resource(usage: DataFrame, prices: DataFrame, period: str, digits: int = 4) -> DataFrame:
     """Cost per period and resource, with a TOTAL row per period.
 
+    A resource without a price has no cost, and neither has the total of a period in which it was used.
     Usage is summed before the price lookup; the rollup only sees one row per resource and period.
     """
     summed = usage.groupBy(period, "resource").agg(F.sum("usage").alias("usage"))
     priced = summed.join(prices, "resource", "left").withColumn(
-        "cost", F.col("usage") * F.coalesce(F.col("unit_price"), F.lit(0.0))
+        "cost", F.col("usage") * F.col("unit_price")
     )
-    rolled = priced.rollup(period, "resource").agg(F.sum("cost").alias("cost"), F.grouping_id().alias("_g"))
+    rolled = priced.rollup(period, "resource").agg(F.when(F.count_if(F.col("cost").isNull()) == 0, F.sum("cost")).alias("cost"), F.grouping_id().alias("_g"))
     return rolled.where(F.col("_g") <= 1).select(
         period,
         F.when(F.col("_g") == 1, "TOTAL").otherwise(F.col("resource")).alias("resource"),

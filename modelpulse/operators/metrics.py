@@ -53,13 +53,18 @@ def scores_from_counts(counted: DataFrame, digits: int = 9) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str, classes: Sequence) -> DataFrame:
-    """Rows actual, one column per predicted class, zero where a pair never occurs."""
-    columns = [F.count_if(F.col(predicted) == c).alias(f"pred_{c}") for c in classes]
+    """Rows actual, one column per predicted class, zero where a pair never occurs.
+
+    ``pred_other`` counts predictions that are none of ``classes`` or null, so that every row is counted once.
+    """
+    listed = F.coalesce(F.col(predicted).isin(list(classes)), F.lit(False))
+    columns = [F.count_if(F.col(predicted) == c).alias(f"pred_{c}") for c in classes] + [F.count_if(~listed).alias("pred_other")]
+    names = [f"pred_{c}" for c in classes] + ["pred_other"]
     known = literal_table(df.sparkSession, ["actual"], [(c,) for c in classes])
     known = known.select(F.col("actual").cast("bigint" if isinstance(classes[0], int) else "string").alias("actual"))
     seen = df.groupBy(F.col(actual).cast(known.schema["actual"].dataType).alias("actual")).agg(*columns)
-    zeros = known.select("actual", *[F.lit(0).cast("bigint").alias(f"pred_{c}") for c in classes])
-    return seen.unionByName(zeros).groupBy("actual").agg(*[F.sum(f"pred_{c}").alias(f"pred_{c}") for c in classes])
+    zeros = known.select("actual", *[F.lit(0).cast("bigint").alias(n) for n in names])
+    return seen.unionByName(zeros).groupBy("actual").agg(*[F.sum(n).alias(n) for n in names])
 
 
 def classification_report(df: DataFrame, actual: str, predicted: str, digits: int = 9) -> DataFrame:

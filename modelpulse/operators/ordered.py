@@ -112,7 +112,7 @@ def running(
         "last": lambda c: F.last(c, ignorenulls=True),
     }
     combine = {
-        "sum": lambda here, off: F.coalesce(off, F.lit(0)) + here,
+        "sum": lambda here, off: F.coalesce(off + here, here, off),
         "min": lambda here, off: F.least(here, off),
         "max": lambda here, off: F.greatest(here, off),
         "last": lambda here, off: F.coalesce(here, off),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from modelpulse.functions import scalar as S
@@ -279,8 +280,8 @@ def traffic_mix(requests: DataFrame, weights: dict[str, int] = TASK_WEIGHTS) ->
     expected = F.lit(0.0)
     for task, weight in weights.items():
         expected = F.when(F.col("task") == task, F.lit(weight / total)).otherwise(expected)
-    everything = counted.agg(F.sum("n")).first()[0] or 0
-    share = counted.withColumn("_all", F.lit(everything))
+    # One row per task, so the window over all of them is small.
+    share = counted.withColumn("_all", F.sum("n").over(Window.partitionBy()))
     return share.select(
         "task",
         "n",

@@ -59,7 +59,7 @@ def batch_size_histogram(spark, sf_dir):
 
 
 LOGITS = """
-logits AS (SELECT vec_id, label, [CAST(x AS DOUBLE) * 10 FOR x IN embedding[1:10]] AS z FROM embeddings),
+logits AS (SELECT vec_id, label, [CAST(x AS DOUBLE) * 10 FOR x IN embedding] AS z FROM embeddings),
 shifted AS (SELECT vec_id, label, z, list_max(z) AS top FROM logits),
 long AS (SELECT vec_id, label, unnest(z) AS v, top, generate_subscripts(z, 1) - 1 AS class_id FROM shifted),
 probs AS (SELECT vec_id, label, CAST(class_id AS INTEGER) AS class_id,
@@ -68,8 +68,8 @@ probs AS (SELECT vec_id, label, CAST(class_id AS INTEGER) AS class_id,
 
 
 def _logits(spark, sf_dir):
-    """Ten class scores per row, taken from the first coordinates of its vector."""
-    scores = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double") * F.lit(10.0))
+    """One class score per coordinate of the row's vector."""
+    scores = F.transform("embedding", lambda x: x.cast("double") * F.lit(10.0))
     return load(spark, sf_dir, "embeddings").select("vec_id", "label", scores.alias("z"))
 
 
@@ -133,14 +133,14 @@ def argmax_class(spark, sf_dir):
 
 @query(
     """
-SELECT vec_id, round((embedding[1]::DOUBLE - 0.485) / 0.229, 6) AS c0,
-       round((embedding[2]::DOUBLE - 0.456) / 0.224, 6) AS c1,
-       round((embedding[3]::DOUBLE - 0.406) / 0.225, 6) AS c2 FROM embeddings"""
+WITH long AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)
+SELECT vec_id, CAST(pos AS INTEGER) AS pos, round((x - [0.485, 0.456, 0.406][pos % 3 + 1]) / [0.229, 0.224, 0.225][pos % 3 + 1], 6) AS value
+FROM long"""
 )
 def standardised_channels(spark, sf_dir):
-    pixels = S.standardise(F.slice("embedding", 1, 3))
-    table = load(spark, sf_dir, "embeddings").select("vec_id", pixels.alias("c"))
-    return table.select("vec_id", *[F.round(F.col("c")[i], 6).alias(f"c{i}") for i in range(3)])
+    """Every value of the vector, read as interleaved channels."""
+    table = load(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(S.standardise_interleaved(F.col("embedding"))).alias("pos", "value"))
+    return table.select("vec_id", "pos", F.round("value", 6).alias("value"))
 
 
 @query(

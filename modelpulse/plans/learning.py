@@ -104,7 +104,8 @@ def binary_scores(spark, sf_dir):
 
 @query(
     f"""WITH {RULE}
-SELECT CAST(actual AS BIGINT) AS actual, count(*) FILTER (predicted = 0) AS pred_0, count(*) FILTER (predicted = 1) AS pred_1
+SELECT CAST(actual AS BIGINT) AS actual, count(*) FILTER (predicted = 0) AS pred_0, count(*) FILTER (predicted = 1) AS pred_1,
+       count(*) FILTER (predicted IS NULL OR predicted NOT IN (0, 1)) AS pred_other
 FROM judged GROUP BY actual"""
 )
 def confusion_matrix(spark, sf_dir):

@@ -92,7 +92,7 @@ def span_summary(spark, sf_dir):
 @query(
     with_requests(
         """,
-ids AS (SELECT *, substr(md5(CAST(request_id AS VARCHAR)), 1, 8) AS rid FROM requests WHERE k % 10 <> 0),
+ids AS (SELECT *, md5(CAST(request_id AS VARCHAR)) AS rid FROM requests WHERE k % 10 <> 0),
 lines AS (SELECT rid, 'received' AS stage, start_us AS at_us FROM ids
           UNION ALL SELECT rid, 'queued', start_us + k * 100 FROM ids
           UNION ALL SELECT rid, CASE WHEN status = 200 THEN 'completed' ELSE 'failed' END, end_us + k * 100 FROM ids),
@@ -111,7 +111,7 @@ def request_traces(spark, sf_dir):
 
     done = F.when(F.col("status") == 200, TR.COMPLETED).otherwise(TR.FAILED)
     lines = log.select(
-        S.request_id_or_default(F.when(F.col("k") % 10 != 0, S.short_id(F.col("request_id")))).alias("request_id"),
+        S.request_id_or_default(F.when(F.col("k") % 10 != 0, F.md5(F.col("request_id").cast("string")))).alias("request_id"),
         F.inline(
             F.array(
                 line(F.lit(TR.RECEIVED), F.col("start_us")),
@@ -341,7 +341,7 @@ def image_bytes_scan(spark, sf_dir):
 def image_tensors(spark, sf_dir):
     path = scratch_path(spark, "images")
     A.write_artifact_files(_bitmaps(spark, sf_dir), path)
-    tensors = I.image_tensors(A.read_images(spark, path))
+    tensors = I.image_tensors(A.read_images(spark, path).where("ok"))
     return tensors.select(
         F.regexp_extract("origin", r"([^/]+)$", 1).alias("filename"),
         F.size("tensor").alias("values"),

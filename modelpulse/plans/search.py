@@ -95,9 +95,10 @@ SELECT CAST(label AS BIGINT) AS label, vec_id, score, CAST(rank AS INTEGER) AS r
 def vector_search(spark, sf_dir):
     """The ten vectors nearest to the mean vector of each label."""
     vectors = load(spark, sf_dir, "embeddings")
-    means = vectors.groupBy(F.col("label").cast("bigint").alias("label")).agg(
-        F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(64)]).alias("centre")
-    )
+    # Means by position, whatever the width of the vectors.
+    long = vectors.select(F.col("label").cast("bigint").alias("label"), F.posexplode("embedding").alias("pos", "x"))
+    means = long.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("mean"))
+    means = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "mean"))).alias("m")).select("label", F.col("m.mean").alias("centre"))
     return RT.vector_candidates(vectors.drop("label"), "vec_id", "embedding", means, "label", "centre", 10)
 
 

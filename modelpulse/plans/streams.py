@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelpulse.operators.scoring import linear_scorer
+from modelpulse.operators.requests import DURATION_BOUNDS
 from modelpulse.plans import medallion
 from modelpulse.plans.data_ops import raw_event_lines
 from modelpulse.plans.inference import batched_scores
@@ -23,9 +24,17 @@ def _requests(spark, sf_dir):
         """,
 hourly AS (SELECT date_trunc('hour', ts) AS w, method, endpoint, status, coalesce(error_type, '') AS error_type, count(*) AS total,
                   count(*) FILTER (status = 200) AS successful, round(sum(latency_ms), 4) AS latency_sum,
-                  count(*) FILTER (latency_ms <= 10) AS le_10ms, count(*) FILTER (latency_ms <= 100) AS le_100ms
+                  count(*) FILTER (latency_ms <= 10) AS le_10ms,
+                  count(*) FILTER (latency_ms <= 50) AS le_50ms,
+                  count(*) FILTER (latency_ms <= 100) AS le_100ms,
+                  count(*) FILTER (latency_ms <= 200) AS le_200ms,
+                  count(*) FILTER (latency_ms <= 500) AS le_500ms,
+                  count(*) FILTER (latency_ms <= 1000) AS le_1000ms,
+                  count(*) FILTER (latency_ms <= 3000) AS le_3000ms,
+                  count(*) FILTER (latency_ms <= 6000) AS le_6000ms
            FROM requests GROUP BY ALL)
-SELECT epoch_us(w) AS window_us, method, endpoint, status, error_type, total, successful, latency_sum, le_10ms, le_100ms
+SELECT epoch_us(w) AS window_us, method, endpoint, status, error_type, total, successful, latency_sum,
+       le_10ms, le_50ms, le_100ms, le_200ms, le_500ms, le_1000ms, le_3000ms, le_6000ms
 FROM hourly WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"""
     )
 )
@@ -34,7 +43,7 @@ def live_request_metrics(spark, sf_dir):
     closed = live.run_to_table(live.live_request_metrics(_requests(spark, sf_dir)), "live-metrics")
     return closed.select(
         F.unix_micros("window_start").alias("window_us"), "method", "endpoint", "status", "error_type", "total", "successful",
-        F.round("latency_sum", 4).alias("latency_sum"), F.col("le_0").alias("le_10ms"), F.col("le_2").alias("le_100ms"),
+        F.round("latency_sum", 4).alias("latency_sum"), *[F.col(f"le_{i}").alias(f"le_{b * 100:.0f}ms") for i, b in enumerate(DURATION_BOUNDS)],
     )
 
 

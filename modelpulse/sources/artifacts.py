@@ -43,8 +43,12 @@ def read_image_bytes(spark: SparkSession, path: str, pattern: str | None = None)
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Images decoded inside the JVM: height, width, channels and bytes in blue-green-red order."""
-    return spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")
+    """Images decoded inside the JVM: height, width, channels and bytes in blue-green-red order, and ``ok``.
+
+    A file that is no readable image stays, with its origin and ``ok`` false.
+    """
+    images = spark.read.format("image").load(path).select("image.*")
+    return images.withColumn("ok", F.coalesce((F.col("height") > 0) & (F.length("data") > 0), F.lit(False)))
 
 
 def write_artifact_table(artifacts: DataFrame, path: str) -> None:

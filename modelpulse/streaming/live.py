@@ -21,11 +21,12 @@ WIDTH = "1 hour"
 def read_table_stream(spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
     """New Parquet files of a table as they arrive; the schema is read once, never inferred per file."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    schema = spark.read.option("pathGlobFilter", f"{table}*.parquet").parquet(folder).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
+    # The exact name, as a file or as a folder of files; a table whose name only begins alike is another one.
+    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{table}.parquet*")
 
 
 def live_request_metrics(

@@ -103,11 +103,11 @@ def test_validation_counts_nulls_as_failed(spark):
     assert V.reference_rule(keys, "k", keys.where("k = 2"), "k", "r").first()["failed"] == 2
 
 
-def test_costs_without_price_are_zero(spark):
+def test_costs_without_price_are_unknown(spark):
     usage = spark.createDataFrame([("m", "cpu", 2.0), ("m", "cpu", 3.0), ("m", "odd", 9.0)], "month string, resource string, usage double")
     prices = spark.createDataFrame([("cpu", 0.5)], "resource string, unit_price double")
     got = {r["resource"]: r["cost"] for r in CO.cost_by_resource(usage, prices, "month").collect()}
-    assert got == {"cpu": 2.5, "odd": 0.0, "TOTAL": 2.5}
+    assert got == {"cpu": 2.5, "odd": None, "TOTAL": None}
 
 
 def test_churn_label(spark):

@@ -44,8 +44,15 @@ def test_running_aggregates(skewed):
         for row in group:
             if row[3] is not None:
                 seen.append(row[3])
-            _, lo, hi, last = got[row[2]]
+            total, lo, hi, last = got[row[2]]
             assert (lo, hi, last) == ((min(seen), max(seen), seen[-1]) if seen else (None, None, None))
+            assert total == (pytest.approx(sum(seen)) if seen else None)
+
+
+def test_running_sum_carries_over_blocks_of_nulls(spark):
+    df = spark.range(80).select("id", F.lit("k").alias("k"), F.when(F.col("id") < 40, 1).alias("v"))
+    got = running(df, ["k"], ["id"], {"s": ("sum", "v")}).orderBy("id").collect()
+    assert [r["s"] for r in got] == [min(i + 1, 40) for i in range(80)]
 
 
 def test_running_sum_without_keys(spark):

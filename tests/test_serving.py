@@ -149,7 +149,13 @@ def test_published_scaling(spark):
 
 def test_confusion_matrix_keeps_unseen_classes(spark):
     got = ME.confusion_matrix(spark.createDataFrame([(0, 1)], "a int, p int"), "a", "p", [0, 1, 2]).orderBy("actual").collect()
-    assert [tuple(r) for r in got] == [(0, 0, 1, 0), (1, 0, 0, 0), (2, 0, 0, 0)]
+    assert [tuple(r) for r in got] == [(0, 0, 1, 0, 0), (1, 0, 0, 0, 0), (2, 0, 0, 0, 0)]
+
+
+def test_confusion_matrix_counts_unlisted_predictions(spark):
+    rows = spark.createDataFrame([(0, 0), (0, 2), (1, 1), (1, 7), (1, None)], "a int, p int")
+    got = ME.confusion_matrix(rows, "a", "p", [0, 1]).orderBy("actual").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 0, 1), (1, 0, 1, 2)]
 
 
 def test_auc_counts_ties_half(spark):
