@@ -66,7 +66,8 @@ def _lexical(spark, sf_dir, k) -> DataFrame:
 def _item_vectors(spark, sf_dir) -> DataFrame:
     """The vector that stands for each benchmark item; the tables share no other key."""
     vectors = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
-    return load(spark, sf_dir, "benchmark").select("item_id").join(vectors, "item_id")
+    items = load(spark, sf_dir, "benchmark").select("item_id")
+    return vectors.join(RT.small(items, RT.table_bytes(items)), "item_id")
 
 
 def _document_vectors(spark, sf_dir) -> DataFrame:
@@ -141,10 +142,10 @@ results AS (SELECT 'lexical' AS strategy, item_id, doc_id FROM lex_ranked WHERE
             UNION ALL SELECT 'hybrid', item_id, doc_id FROM fused_ranked WHERE rank <= 10
             UNION ALL SELECT 'reranked', item_id, doc_id FROM reranked WHERE rank <= 10),
 wanted AS (SELECT item_id, count(*) AS n FROM relevant GROUP BY item_id),
-judged AS (SELECT strategy, item_id, count(r.doc_id) AS hits, count(*) AS shown
+judged AS (SELECT strategy, item_id, count(r.doc_id) AS hits
            FROM results LEFT JOIN relevant r USING (item_id, doc_id) GROUP BY strategy, item_id)
 SELECT strategy, (SELECT count(*) FROM wanted) AS queries,
-       round(coalesce(sum(hits / shown) FILTER (n IS NOT NULL), 0) / (SELECT count(*) FROM wanted), 6) AS precision_at_k,
+       round(coalesce(sum(hits / 10) FILTER (n IS NOT NULL), 0) / (SELECT count(*) FROM wanted), 6) AS precision_at_k,
        round(coalesce(sum(hits / n), 0) / (SELECT count(*) FROM wanted), 6) AS recall_at_k
 FROM judged LEFT JOIN wanted USING (item_id) GROUP BY strategy"""
 )
