@@ -35,9 +35,8 @@ def _records(spark, sf_dir):
         duration_ms=F.col("latency_ms"),
         status=F.when(failed, "failed").otherwise("success"),
         error_type=F.col("error_type"),
-        extras=F.create_map(F.lit("user_id"), F.col("user_id").cast("string")),
     )
-    return L.json_lines(log, record)
+    return L.json_lines(log, record, extras=F.create_map(F.lit("user_id"), F.col("user_id").cast("string")))
 
 
 RECORDS = """
@@ -129,6 +128,8 @@ def _text_lines(spark, sf_dir):
         F.col("event_type") == "view",
         F.concat(F.lit("Processing batch of size "), (1 + F.col("k") % 8).cast("string")),
     ).otherwise(F.format_string("Batch inference completed in %.2fms", F.col("latency_ms")))
+    trace = F.concat(F.lit("\nTraceback (most recent call last):\n  "), F.col("error_type"))
+    message = F.concat(message, F.coalesce(trace, F.lit("")))
     return L.text_lines(
         log,
         F.col("start_ts"),
@@ -145,7 +146,8 @@ lines AS (
          CASE WHEN error_type IS NULL THEN 'INFO' ELSE 'ERROR' END AS level,
          CASE WHEN k % 10 <> 0 THEN substr(md5(CAST(request_id AS VARCHAR)), 1, 8) ELSE 'no-request-id' END AS request_id,
          CASE WHEN event_type = 'view' THEN 'Processing batch of size ' || (1 + k % 8)
-              ELSE printf('Batch inference completed in %.2fms', latency_ms) END AS message
+              ELSE printf('Batch inference completed in %.2fms', latency_ms) END
+         || coalesce(chr(10) || 'Traceback (most recent call last):' || chr(10) || '  ' || error_type, '') AS message
   FROM requests)
 """
 
@@ -154,7 +156,19 @@ lines AS (
 def text_log_scan(spark, sf_dir):
     path = scratch_path(spark, "text-log")
     L.write_lines(_text_lines(spark, sf_dir), path)
-    return L.read_text_logs(spark, path)
+    return L.read_text_logs(spark, path).drop("raw")
+
+
+@query(
+    with_requests(
+        """ SELECT raw, count(*) AS n FROM (
+  SELECT unnest(['Traceback (most recent call last):', '  ' || error_type]) AS raw FROM requests WHERE error_type IS NOT NULL) GROUP BY raw"""
+    )
+)
+def unparsed_log_lines(spark, sf_dir):
+    """Physical lines that are no record of their own."""
+    physical = _text_lines(spark, sf_dir).select(F.explode(F.split("value", "\n")).alias("value"))
+    return L.parse_text_lines(physical).where(F.col("raw").isNotNull()).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

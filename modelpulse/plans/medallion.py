@@ -16,10 +16,21 @@ def write_bronze(raw_lines: DataFrame, path: str) -> None:
     raw_lines.write.mode("append").parquet(path)
 
 
-def silver_from(bronze: DataFrame) -> DataFrame:
-    """Parsed and deduplicated events; a line that does not parse is left to ``broken_lines``."""
+def parsed_events(bronze: DataFrame) -> DataFrame:
+    """Events with their day; a line that does not parse is left to ``broken_lines``."""
     parsed = bronze.select(F.from_json("value", RAW_SCHEMA).alias("r")).select("r.*")
-    return parsed.where(F.col("event_id").isNotNull()).dropDuplicates(["event_id"])
+    return parsed.where(F.col("event_id").isNotNull()).withColumn("day", F.to_date("ts"))
+
+
+def without_repeats(events: DataFrame) -> DataFrame:
+    """One row per event id and day, the smallest if repeats differ (a repeat carries the time of its event)."""
+    rest = [c for c in events.columns if c not in ("event_id", "day")]
+    one = events.groupBy("event_id", "day").agg(F.min(F.struct(*rest)).alias("r"))
+    return one.select("event_id", "r.*", "day")
+
+
+def silver_from(bronze: DataFrame) -> DataFrame:
+    return without_repeats(parsed_events(bronze))
 
 
 def broken_lines(bronze: DataFrame) -> DataFrame:
@@ -33,8 +44,9 @@ def gold_from(silver: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, raw_lines: DataFrame, base: str) -> DataFrame:
-    """All three layers under ``base``; each is written before the next one reads it."""
+    """All three layers under ``base``, and the broken lines; each is written before the next one reads it."""
     write_bronze(raw_lines, f"{base}/bronze")
+    broken_lines(spark.read.parquet(f"{base}/bronze")).write.mode("overwrite").parquet(f"{base}/broken")
     silver_from(spark.read.parquet(f"{base}/bronze")).write.mode("overwrite").parquet(f"{base}/silver")
     gold_from(spark.read.parquet(f"{base}/silver")).write.mode("overwrite").parquet(f"{base}/gold")
     return spark.read.parquet(f"{base}/gold")

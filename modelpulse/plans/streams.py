@@ -66,5 +66,4 @@ def streamed_medallion_gold(spark, sf_dir):
     base = scratch_path(spark, "medallion-stream")
     medallion.write_bronze(raw_event_lines(spark, sf_dir), f"{base}/bronze")
     bronze = spark.readStream.schema("value string").parquet(f"{base}/bronze")
-    silver = live.run_to_table(live.silver_stream(bronze), "silver")
-    return medallion.gold_from(silver)
+    return medallion.gold_from(live.run_to_silver(bronze, "silver"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelpulse.functions import scalar as S
+from modelpulse.operators.ordered import running
 
 LOG_SCHEMA = T.StructType(
     [
@@ -42,7 +43,6 @@ LOG_SCHEMA = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("error_type", T.StringType()),
         T.StructField("error_message", T.StringType()),
-        T.StructField("extras", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 _CORRUPT = "_corrupt_record"
@@ -95,8 +95,13 @@ def at_level(logs: DataFrame, minimum: str) -> DataFrame:
     return logs.where(F.col("level").isin(LEVELS[LEVELS.index(minimum.upper()) :]))
 
 
-def json_lines(df: DataFrame, record: Column) -> DataFrame:
-    return df.select(F.to_json(record).alias("value"))
+def json_lines(df: DataFrame, record: Column, extras: Column | None = None) -> DataFrame:
+    """One JSON object per record; the entries of the map ``extras`` stand at its top level."""
+    line = F.to_json(record)
+    if extras is not None:
+        more = F.to_json(extras)
+        line = F.when(F.size(extras) > 0, F.concat(F.left(line, F.length(line) - 1), F.lit(","), F.right(more, F.length(more) - 1))).otherwise(line)
+    return df.select(line.alias("value"))
 
 
 def text_lines(
@@ -127,11 +132,16 @@ def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def parse_json_lines(lines: DataFrame) -> DataFrame:
-    """Records from JSON lines with an explicit schema; a broken line is kept in ``_corrupt_record``."""
+    """Records from JSON lines with an explicit schema; a broken line is kept in ``_corrupt_record``.
+
+    Keys beyond the schema are in the map ``extras`` with their values as text.
+    """
     schema = T.StructType([*LOG_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    known = [f.name for f in LOG_SCHEMA.fields]
     return lines.select(
-        F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("r")
-    ).select("r.*")
+        F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("r"),
+        F.map_filter(F.from_json("value", "map<string,string>"), lambda k, _: ~k.isin(known)).alias("extras"),
+    ).select("r.*", "extras")
 
 
 def read_json_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -139,11 +149,32 @@ def read_json_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_text_lines(lines: DataFrame) -> DataFrame:
-    """The five fields of plain-text lines; a line in another form gives empty strings."""
-    part = [F.regexp_extract("value", TEXT_LINE, i) for i in range(1, 6)]
+    """The five fields of plain-text records; one in another form has nulls there and its text in ``raw``."""
+    matches = F.col("value").rlike(TEXT_LINE)
     names = ["time", "name", "level", "request_id", "message"]
-    return lines.select(*[p.alias(n) for p, n in zip(part, names)])
+    fields = [F.when(matches, F.regexp_extract("value", TEXT_LINE, i)).alias(n) for i, n in enumerate(names, 1)]
+    return lines.select(*fields, F.when(~matches, F.col("value")).alias("raw"))
+
+
+def fold_lines(lines: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Records of ``value`` from physical lines: a line in another form belongs to the record before it.
+
+    ``order`` is unique per ``keys`` (a file). Lines before the first record of a file stay as they are.
+    """
+    marked = lines.withColumn("_start", F.col("value").rlike(TEXT_LINE).cast("bigint"))
+    numbered = running(marked, keys, order, {"_record": ("sum", "_start")})
+    inside = numbered.where(F.col("_record") > 0).groupBy(*keys, "_record").agg(F.array_sort(F.collect_list(F.struct(*order, "value"))).alias("_l"))
+    before = numbered.where(F.col("_record") == 0).select("value")
+    return inside.select(F.array_join("_l.value", "\n").alias("value")).unionByName(before)
 
 
 def read_text_logs(spark: SparkSession, path: str) -> DataFrame:
-    return parse_text_lines(spark.read.text(path))
+    """Records of all files under ``path``, those of several lines (tracebacks) included."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        # The pieces of a file lie in any order, the lines of a piece in their own.
+        F.col("_metadata.file_block_start").alias("_piece"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    return parse_text_lines(fold_lines(lines, ["_file"], ["_piece", "_line"]))

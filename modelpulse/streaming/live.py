@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from modelpulse.operators import requests as R
 from modelpulse.operators.scoring import score_in_batches
-from modelpulse.plans.medallion import RAW_SCHEMA
+from modelpulse.plans.medallion import RAW_SCHEMA as SILVER_SCHEMA
+from modelpulse.plans.medallion import parsed_events, without_repeats
 from modelpulse.session import scratch_path
 
 # Our choice: lifetime counters never expire, windowed ones need a bound for late data.
@@ -63,11 +64,34 @@ def score_stream(stream: DataFrame, features: str, width: int, make_predict: Cal
     return score_in_batches(stream, features, width, make_predict, batch_size)
 
 
-def silver_stream(bronze: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Parsed events without repeats; an id is remembered for the length of the watermark only."""
-    parsed = bronze.select(F.from_json("value", RAW_SCHEMA).alias("r")).select("r.*")
-    known = parsed.where(F.col("event_id").isNotNull())
-    return known.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
+def start_silver(bronze: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
+    """Append parsed events without repeats, however late they come; a repeated batch overwrites itself.
+
+    A batch is compared with the ids that earlier batches wrote for its own days, so no state grows with the
+    stream and no event is dropped for its age.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = without_repeats(batch).persist()
+        days = [r["day"] for r in fresh.select("day").distinct().collect()]
+        if batch_id > 0:
+            written = batch.sparkSession.read.schema(f"{SILVER_SCHEMA}, batch bigint, day date").option("basePath", path).parquet(f"{path}/batch=*")
+            same_days = F.col("day").isin([d for d in days if d is not None])
+            earlier = written.where((F.col("batch") < batch_id) & (same_days | F.col("day").isNull()))
+            new = join_anti(fresh, earlier.select("event_id", "day"))
+        else:
+            new = fresh
+        new.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
+        fresh.unpersist()
+
+    writer = parsed_events(bronze).writeStream.option("checkpointLocation", state).foreachBatch(write)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def join_anti(events: DataFrame, known: DataFrame) -> DataFrame:
+    """Events whose id and day are not among the known ones; a missing day equals a missing day."""
+    right = known.select(F.col("event_id").alias("_id"), F.col("day").alias("_day"))
+    return events.join(right, (F.col("event_id") == F.col("_id")) & F.col("day").eqNullSafe(F.col("_day")), "left_anti")
 
 
 def start_table(stream: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
@@ -77,10 +101,13 @@ def start_table(stream: DataFrame, path: str, state: str, every: str | None = No
 
 
 def start_snapshots(stream: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
-    """Write the whole current result of each trigger under its batch number; a repeated batch overwrites itself."""
+    """Write the whole current result of each trigger; a repeated batch overwrites itself.
+
+    Two folders take turns, so the last complete snapshot stays readable and none is kept for ever.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{batch_id % 2}")
 
     writer = stream.writeStream.outputMode("complete").option("checkpointLocation", state).foreachBatch(write)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
@@ -99,4 +126,11 @@ def run_to_snapshot(stream: DataFrame, name: str) -> DataFrame:
     base = scratch_path(spark, name)
     query = start_snapshots(stream, f"{base}/table", f"{base}/state")
     query.awaitTermination()
-    return spark.read.parquet(f"{base}/table/{query.lastProgress['batchId']}")
+    return spark.read.parquet(f"{base}/table/{query.lastProgress['batchId'] % 2}")
+
+
+def run_to_silver(bronze: DataFrame, name: str) -> DataFrame:
+    spark = bronze.sparkSession
+    base = scratch_path(spark, name)
+    start_silver(bronze, f"{base}/table", f"{base}/state").awaitTermination()
+    return spark.read.schema(f"{SILVER_SCHEMA}, batch bigint, day date").parquet(f"{base}/table")

@@ -32,7 +32,7 @@ def test_level_and_request_id_defaults(spark):
 def test_text_line_with_separator_in_message(spark):
     line = "2024-01-01 00:00:00,123 - batch_manager - INFO - [abc] - a - b"
     row = L.parse_text_lines(spark.createDataFrame([(line,)], "value string")).first()
-    assert tuple(row) == ("2024-01-01 00:00:00,123", "batch_manager", "INFO", "abc", "a - b")
+    assert tuple(row) == ("2024-01-01 00:00:00,123", "batch_manager", "INFO", "abc", "a - b", None)
 
 
 def test_traces_skip_lines_without_request(spark):
@@ -109,3 +109,20 @@ def test_channel_order_is_red_green_blue():
         data, height, width, nChannels = bytes([10, 20, 30]), 1, 1, 3
 
     assert I.to_rgb(Row).ravel().tolist() == [30, 20, 10]
+
+
+def test_unknown_keys_and_broken_lines_are_kept(spark):
+    lines = [('{"level": "INFO", "message": "m", "latency_ms": 1.5, "user": {"id": 7}}',), ('{"level": "INFO"}',), ("{broken",)]
+    rows = L.parse_json_lines(spark.createDataFrame(lines, "value string")).collect()
+    assert rows[0]["extras"] == {"latency_ms": "1.5", "user": '{"id":7}'} and rows[1]["extras"] == {}
+    assert rows[2]["_corrupt_record"] == "{broken" and rows[2]["extras"] is None
+
+
+def test_records_of_several_lines_are_folded(spark, tmp_path):
+    head = "2024-01-01 00:00:0%d,000 - app - ERROR - [r%d] - failed"
+    (tmp_path / "a.log").write_text("\n".join(["left over", head % (1, 1), "Traceback:", "", "  boom", head % (2, 2)]) + "\n")
+    (tmp_path / "b.log").write_text("\n".join([head % (3, 3), "  other"]) + "\n")
+    got = L.read_text_logs(spark, str(tmp_path)).collect()
+    assert {(r["request_id"], r["message"], r["raw"]) for r in got} == {
+        (None, None, "left over"), ("r1", "failed\nTraceback:\n\n  boom", None), ("r2", "failed", None), ("r3", "failed\n  other", None),
+    }

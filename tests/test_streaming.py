@@ -45,3 +45,34 @@ def test_silver_drops_repeats_and_broken_lines(spark, sf_dir):
     n = requests(spark, sf_dir).count()
     assert medallion.silver_from(raw).count() == n
     assert medallion.broken_lines(raw).count() == raw.where("value = '{broken'").count() > 0
+
+
+def test_late_and_repeated_rows_reach_silver_in_any_number_of_batches(spark, tmp_path):
+    event = '{"event_id": %d, "ts": "2024-01-0%d %s:00:00", "user_id": 1, "event_type": "view", "value": 1.0, "props": "{}"}'
+    deliveries = [
+        [event % (1, 2, "12"), event % (2, 2, "13")],
+        [event % (3, 2, "09"), event % (1, 2, "12"), "{broken"],
+        [event % (4, 1, "23"), event % (4, 1, "23"), event % (3, 2, "09"), '{"event_id": 5}'],
+        [event % (5, 3, "00"), '{"event_id": 5}'],
+    ]
+    (tmp_path / "in").mkdir()
+    bronze = spark.readStream.schema("value string").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for i, lines in enumerate(deliveries):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+        live.start_silver(bronze, out, state).awaitTermination()
+    columns = ["event_id", "ts", "user_id", "event_type", "value", "props", "day"]
+    stream = spark.read.parquet(out).select(columns)
+    batch = medallion.silver_from(spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))).select(columns)
+    assert sorted(map(str, stream.collect())) == sorted(map(str, batch.collect()))
+    assert stream.count() == 6
+
+
+def test_snapshots_take_turns(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema("id bigint").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    for i in range(3):
+        spark.range(i + 1).write.parquet(str(tmp_path / "in" / str(i)))
+        live.start_snapshots(source.groupBy().count(), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["0", "1"]
+    assert spark.read.parquet(str(tmp_path / "out" / "0")).first()[0] == 6
