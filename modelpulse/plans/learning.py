@@ -9,6 +9,7 @@ from modelpulse.operators import metrics as ME
 from modelpulse.operators import models as MO
 from modelpulse.operators import splits as SP
 from modelpulse.plans.registry import query
+from modelpulse.session import pin
 from modelpulse.sources.tables import FEATURES, labelled_frame, load, load_texts, text_features
 
 # The word features of sources.tables, in SQL.
@@ -193,27 +194,25 @@ def simple_regression(spark, sf_dir):
 
 
 def _regression_sides(spark, sf_dir):
-    # Seven passes or more follow, so the small numeric frame is cached instead of re-tokenising the texts.
+    # Seven passes or more follow, so the small numeric frame is pinned (and freed with its last use) instead of re-tokenising the texts.
     frame = SP.holdout(text_features(load_texts(spark, sf_dir, "documents")), "doc_id")
-    ready = MO.assembled(frame, FEATURES, "n_chars").select("doc_id", "features", "label", "is_test").cache()
+    ready = pin(MO.assembled(frame, FEATURES, "n_chars").select("doc_id", "features", "label", "is_test"))
     return ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
 
 
 def _classification_sides(spark, sf_dir):
     frame = SP.stratified_holdout(labelled_frame(spark, sf_dir), "target", "doc_id")
-    ready = MO.assembled(frame, FEATURES, "target").select("doc_id", "features", "label", "is_test").cache()
+    ready = pin(MO.assembled(frame, FEATURES, "target").select("doc_id", "features", "label", "is_test"))
     return ready.where(~F.col("is_test")), ready.where(F.col("is_test"))
 
 
 # Normal equations of three centred features, solved by Cramer's rule; ridge adds 1/n to the diagonal.
-NORMAL = f"""{TEXT},
-sides AS (SELECT *, {HASH} < {TEST_LIMIT} AS is_test FROM features),
-moments AS (SELECT count(*) AS n, avg(n_words) AS m1, avg(n_distinct) AS m2, avg(n_lines) AS m3, avg(n_chars) AS my,
+SIDES = f"{TEXT}, sides AS (SELECT *, {HASH} < {TEST_LIMIT} AS is_test FROM features)"
+MOMENTS = """count(*) AS n, avg(n_words) AS m1, avg(n_distinct) AS m2, avg(n_lines) AS m3, avg(n_chars) AS my,
   var_pop(n_words) AS v1, var_pop(n_distinct) AS v2, var_pop(n_lines) AS v3, covar_pop(n_words, n_distinct) AS c12,
   covar_pop(n_words, n_lines) AS c13, covar_pop(n_distinct, n_lines) AS c23, covar_pop(n_words, n_chars) AS y1,
-  covar_pop(n_distinct, n_chars) AS y2, covar_pop(n_lines, n_chars) AS y3 FROM sides WHERE NOT is_test),
-penal AS (SELECT 'ols' AS model, m.*, v1 AS a, v2 AS b, v3 AS c FROM moments m
-          UNION ALL SELECT 'ridge', m.*, v1 + 1.0 / n, v2 + 1.0 / n, v3 + 1.0 / n FROM moments m),
+  covar_pop(n_distinct, n_chars) AS y2, covar_pop(n_lines, n_chars) AS y3"""
+SOLUTION = """
 solved AS (SELECT *, a * (b * c - c23 * c23) - c12 * (c12 * c - c23 * c13) + c13 * (c12 * c23 - b * c13) AS det FROM penal),
 weights AS (SELECT model, m1, m2, m3, my,
   (y1 * (b * c - c23 * c23) - c12 * (y2 * c - c23 * y3) + c13 * (y2 * c23 - b * y3)) / det AS w1,
@@ -221,6 +220,11 @@ weights AS (SELECT model, m1, m2, m3, my,
   (a * (b * y3 - y2 * c23) - c12 * (c12 * y3 - y2 * c13) + y1 * (c12 * c23 - b * c13)) / det AS w3 FROM solved),
 fitted AS (SELECT *, my - w1 * m1 - w2 * m2 - w3 * m3 AS w0 FROM weights)
 """
+NORMAL = f"""{SIDES},
+moments AS (SELECT {MOMENTS} FROM sides WHERE NOT is_test),
+penal AS (SELECT 'ols' AS model, m.*, v1 AS a, v2 AS b, v3 AS c FROM moments m
+          UNION ALL SELECT 'ridge', m.*, v1 + 1.0 / n, v2 + 1.0 / n, v3 + 1.0 / n FROM moments m),
+{SOLUTION}"""
 
 
 @query(
@@ -297,7 +301,7 @@ def tree_importances(spark, sf_dir):
 @query()
 def tree_depth_sweep(spark, sf_dir):
     frame = SP.contiguous_folds(labelled_frame(spark, sf_dir), "target", ["doc_id"])
-    folded = MO.assembled(frame, FEATURES, "target").select("features", "label", "fold").cache()
+    folded = pin(MO.assembled(frame, FEATURES, "target").select("features", "label", "fold"))
     return MO.complexity_sweep(folded)
 
 
@@ -306,10 +310,22 @@ def ensemble_scores(spark, sf_dir):
     return MO.ensemble_scores(*_classification_sides(spark, sf_dir))
 
 
-@query()
+@query(
+    f"""WITH {SIDES},
+parts AS (SELECT f, sides.* FROM sides, (SELECT unnest([0.2, 0.4, 0.6, 0.8, 1.0])::DOUBLE AS f)
+          WHERE NOT is_test AND {HASH.replace("42:", "43:")} < f * 4294967296.0),
+penal AS (SELECT *, v1 AS a, v2 AS b, v3 AS c FROM (SELECT f AS model, {MOMENTS} FROM parts GROUP BY f)),
+{SOLUTION.rstrip()},
+r2 AS (SELECT model, side, 1 - avg((y - p) ** 2) / var_pop(y) AS r2 FROM (
+  SELECT model, 'train' AS side, n_chars AS y, w0 + w1 * n_words + w2 * n_distinct + w3 * n_lines AS p FROM fitted JOIN parts ON f = model
+  UNION ALL SELECT model, 'test', n_chars, w0 + w1 * n_words + w2 * n_distinct + w3 * n_lines FROM fitted, sides WHERE is_test) GROUP BY ALL)
+SELECT model AS fraction, round(max(r2) FILTER (side = 'train'), 6) AS train_r2, round(max(r2) FILTER (side = 'test'), 6) AS test_r2
+FROM r2 GROUP BY model"""
+)
 def learning_curve(spark, sf_dir):
     train, test = _regression_sides(spark, sf_dir)
-    return MO.learning_curve(train, test, "doc_id")
+    curve = MO.learning_curve(train, test, "doc_id")
+    return curve.select("fraction", F.round("train_r2", 6).alias("train_r2"), F.round("test_r2", 6).alias("test_r2"))
 
 
 CUTOFF = "2024-01-28"
@@ -331,7 +347,7 @@ def churn_features(spark, sf_dir):
 @query()
 def churn_model(spark, sf_dir):
     """Precision, recall and exact AUC of a logistic model on held-out users."""
-    table = SP.holdout(FE.churn_features(load(spark, sf_dir, "events"), CUTOFF), "user_id").withColumnRenamed("churned", "label").cache()
+    table = pin(SP.holdout(FE.churn_features(load(spark, sf_dir, "events"), CUTOFF), "user_id").withColumnRenamed("churned", "label"))
     model = MO.fit_churn(table.where(~F.col("is_test")), FE.CHURN_FEATURES)
     from pyspark.ml.functions import vector_to_array
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from modelpulse.functions import scalar as S
 from modelpulse.operators import requests as R
+from modelpulse.operators.ordered import join_totals
 from modelpulse.plans.registry import REQUESTS, histogram_sql, query, with_requests
 from modelpulse.sources.tables import load, requests
 
@@ -316,9 +317,22 @@ def latency_slo(spark, sf_dir):
     return R.slo_report(requests(spark, sf_dir), ["endpoint"])
 
 
-@query()
+@query(
+    with_requests(
+        "SELECT endpoint, count(*) AS n, true AS p50_in_bounds, true AS p95_in_bounds, true AS p99_in_bounds FROM requests WHERE status = 200 GROUP BY endpoint"
+    )
+)
 def latency_slo_sketch(spark, sf_dir):
-    return R.approximate_percentiles(requests(spark, sf_dir), ["endpoint"])
+    """Whether the rank of each sketched percentile lies within the error that the sketch promises."""
+    log = R.successful(requests(spark, sf_dir))
+    ranked = join_totals(log, R.approximate_percentiles(log, ["endpoint"], accuracy=10_000), ["endpoint"])
+    n, slack = F.count(F.lit(1)), F.count(F.lit(1)) / 10_000 + 1
+
+    def in_bounds(name, share):
+        below, upto = F.count_if(F.col("latency_ms") < F.col(name)), F.count_if(F.col("latency_ms") <= F.col(name))
+        return (F.coalesce(below <= share * n + slack, F.lit(False)) & (upto >= share * n - slack)).alias(name.replace("_ms", "_in_bounds"))
+
+    return ranked.groupBy("endpoint").agg(n.alias("n"), *[in_bounds(f"p{p}_ms", p / 100) for p in (50, 95, 99)])
 
 
 @query(
