@@ -23,14 +23,14 @@ batches AS (SELECT *, CAST(n // 8 + max(arrival_tick - n // 8) OVER (
 """
 
 
-def _assigned(spark, sf_dir):
+def assigned_batches(spark, sf_dir):
     queue = requests(spark, sf_dir).select("request_id", "endpoint", "start_us", "k", "event_type")
     return B.assign_batches(queue, ["endpoint"], "start_us", "request_id", tick_us=TICK_US)
 
 
 @query(with_requests(f", {BATCHES} SELECT request_id, endpoint, arrival_tick, batch_tick FROM batches"))
 def fifo_batches(spark, sf_dir):
-    return _assigned(spark, sf_dir).select("request_id", "endpoint", "arrival_tick", "batch_tick")
+    return assigned_batches(spark, sf_dir).select("request_id", "endpoint", "arrival_tick", "batch_tick")
 
 
 @query(
@@ -42,7 +42,7 @@ FROM batches"""
     )
 )
 def batch_failures(spark, sf_dir):
-    assigned = _assigned(spark, sf_dir).withColumn("is_bad", F.col("event_type") == "error")
+    assigned = assigned_batches(spark, sf_dir).withColumn("is_bad", F.col("event_type") == "error")
     return B.spread_failures(assigned, ["endpoint"], "is_bad").select("request_id", "batch_tick", "is_bad", "batch_failed")
 
 
@@ -54,7 +54,7 @@ def batch_failures(spark, sf_dir):
     )
 )
 def batch_size_histogram(spark, sf_dir):
-    sizes = B.batch_sizes(_assigned(spark, sf_dir), ["endpoint"])
+    sizes = B.batch_sizes(assigned_batches(spark, sf_dir), ["endpoint"])
     return R.histogram(sizes, ["endpoint"], F.col("batch_size").cast("double"), R.BATCH_BOUNDS)
 
 

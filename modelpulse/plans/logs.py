@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelpulse.functions import scalar as S
+from modelpulse.operators import batching as B
 from modelpulse.operators import images as I
 from modelpulse.operators import notebooks as N
 from modelpulse.operators import requests as R
 from modelpulse.operators import traces as TR
+from modelpulse.plans.inference import BATCHES, assigned_batches
 from modelpulse.plans.registry import REQUESTS, histogram_sql, query, with_requests
 from modelpulse.session import scratch_path
 from modelpulse.sources import artifacts as A
@@ -184,42 +186,87 @@ def batch_log_mining(spark, sf_dir):
     return TR.mine_batches(L.parse_text_lines(_text_lines(spark, sf_dir)))
 
 
-LONG_HISTOGRAM = histogram_sql(
-    "secs", "method, endpoint", "seconds", R.DURATION_BOUNDS,
-    f"{REQUESTS}, secs AS (SELECT method, endpoint, latency_ms / 100.0 AS seconds FROM requests)",
-)
-EXPOSITION = f"""
-hist AS ({LONG_HISTOGRAM}),
-counts AS (WITH {REQUESTS} SELECT method, endpoint, status, count(*) AS n FROM requests GROUP BY ALL),
-lines AS (
-  SELECT 'http_request_duration_seconds_' || sample || '{{endpoint="' || endpoint || '"' ||
-         CASE WHEN le <> '' THEN ',le="' || le || '"' ELSE '' END || ',method="' || method || '"}} ' ||
-         CAST(value AS VARCHAR) AS value FROM hist
-  UNION ALL
-  SELECT 'http_requests_total{{endpoint="' || endpoint || '",method="' || method || '",status="' || status || '"}} ' ||
-         CAST(CAST(n AS DOUBLE) AS VARCHAR) FROM counts)
+# Name, kind, help text and labels of the metric families.
+FAMILIES = [
+    ("http_requests_total", "counter", "Total HTTP requests", ["method", "endpoint", "status"]),
+    ("http_request_duration_seconds", "histogram", "HTTP request duration in seconds", ["method", "endpoint"]),
+    ("http_request_size_bytes", "histogram", "HTTP request size in bytes", ["method", "endpoint"]),
+    ("http_response_size_bytes", "histogram", "HTTP response size in bytes", ["method", "endpoint"]),
+    ("model_inference_duration_seconds", "histogram", "Model inference duration in seconds", ["model_name"]),
+    ("batch_size", "histogram", "Number of requests in batch", []),
+    ("batch_queue_length", "gauge", "Current length of batch queue", []),
+    ("errors_total", "counter", "Total errors", ["error_type", "endpoint"]),
+    ("active_requests", "gauge", "Number of requests currently being processed", []),
+    ("model_load_time_seconds", "gauge", "Time taken to load the model", []),
+]
+
+
+def _family_sql(name, kind, help_text, labels):
+    """Header and sample lines of a family whose samples are the table of its name."""
+    pairs = {n: f"""'{n}="' || {n} || '"'""" for n in labels}
+    if kind == "histogram":
+        pairs["le"] = """CASE WHEN le <> '' THEN 'le="' || le || '"' END"""
+    series = f"concat_ws(',', {', '.join(pairs[n] for n in sorted(pairs))})" if pairs else "''"
+    metric = f"'{name}_' || sample" if kind == "histogram" else f"'{name}'"
+    return f"""SELECT '# HELP {name} {help_text}' AS value UNION ALL SELECT '# TYPE {name} {kind}'
+  UNION ALL SELECT {metric} || CASE series WHEN '' THEN '' ELSE '{{' || series || '}}' END || ' ' || CAST(CAST(value AS DOUBLE) AS VARCHAR)
+  FROM (SELECT *, {series} AS series FROM {name})"""
+
+
+# Sizes are told by the payload number of a request, the load time by the first request, which waits for the model.
+EXPOSITION = f"""{REQUESTS}, {BATCHES},
+page AS (SELECT *, 'resnet50' AS model_name, latency_ms / 100.0 AS seconds, inference_ms / 100.0 AS busy,
+                k * 1024.0 AS bytes_in, k * 4096.0 AS bytes_out FROM requests),
+sized AS (SELECT CAST(count(*) AS DOUBLE) AS items FROM batches GROUP BY endpoint, batch_tick),
+http_requests_total AS (SELECT method, endpoint, status, count(*) AS value FROM page GROUP BY ALL),
+http_request_duration_seconds AS ({histogram_sql("page", "method, endpoint", "seconds", R.DURATION_BOUNDS)}),
+http_request_size_bytes AS ({histogram_sql("page", "method, endpoint", "bytes_in", R.BYTE_BOUNDS)}),
+http_response_size_bytes AS ({histogram_sql("page", "method, endpoint", "bytes_out", R.BYTE_BOUNDS)}),
+model_inference_duration_seconds AS ({histogram_sql("page", "model_name", "busy", R.INFERENCE_BOUNDS)}),
+batch_size AS ({histogram_sql("sized", "", "items", R.BATCH_BOUNDS)}),
+batch_queue_length AS (SELECT arg_max(k, (ts, request_id)) AS value FROM page),
+errors_total AS (SELECT error_type, endpoint, count(*) AS value FROM page WHERE error_type IS NOT NULL GROUP BY ALL),
+active_requests AS (SELECT arg_max(active, at_us) AS value FROM (
+  SELECT at_us, sum(sum(change)) OVER (ORDER BY at_us) AS active FROM (
+    SELECT start_us AS at_us, 1 AS change FROM page UNION ALL SELECT end_us, -1 FROM page) GROUP BY at_us)),
+model_load_time_seconds AS (SELECT round(arg_min(seconds, (ts, request_id)), 4) AS value FROM page),
+lines AS ({" UNION ALL ".join(_family_sql(*family) for family in FAMILIES)})
 """
 
 
 def _exposition(spark, sf_dir):
-    log = requests(spark, sf_dir)
-    hist = R.histogram(log, ["method", "endpoint"], F.col("latency_ms") / F.lit(100.0), R.DURATION_BOUNDS)
-    return (
-        X.header_lines(spark, "http_request_duration_seconds", "HTTP request duration in seconds", "histogram")
-        .unionByName(X.histogram_lines(hist, "http_request_duration_seconds", ["method", "endpoint"]))
-        .unionByName(X.header_lines(spark, "http_requests_total", "Total HTTP requests", "counter"))
-        .unionByName(X.value_lines(R.request_counter(log), "http_requests_total", ["method", "endpoint", "status"]))
-    )
+    log = requests(spark, sf_dir).withColumn("model_name", F.lit("resnet50"))
+    served = ["method", "endpoint"]
+    sizes = B.batch_sizes(assigned_batches(spark, sf_dir), ["endpoint"])
+    first = F.min_by(F.col("latency_ms") / F.lit(100.0), F.struct("start_us", "request_id"))
+    samples = {
+        "http_requests_total": R.request_counter(log),
+        "http_request_duration_seconds": R.histogram(log, served, F.col("latency_ms") / F.lit(100.0), R.DURATION_BOUNDS),
+        "http_request_size_bytes": R.histogram(log, served, F.col("k") * F.lit(1024.0), R.BYTE_BOUNDS),
+        "http_response_size_bytes": R.histogram(log, served, F.col("k") * F.lit(4096.0), R.BYTE_BOUNDS),
+        "model_inference_duration_seconds": R.histogram(log, ["model_name"], F.col("inference_ms") / F.lit(100.0), R.INFERENCE_BOUNDS),
+        "batch_size": R.histogram(sizes, [], F.col("batch_size").cast("double"), R.BATCH_BOUNDS),
+        "batch_queue_length": R.last_value_gauge(log, [], "k", "start_us", "request_id"),
+        "errors_total": R.error_counter(log),
+        "active_requests": R.concurrency_gauge(log, []).agg(F.max_by("active", "at_us").alias("value")),
+        "model_load_time_seconds": log.agg(F.round(first, 4).alias("value")),
+    }
+    lines = None
+    for name, kind, help_text, labels in FAMILIES:
+        write = X.histogram_lines if kind == "histogram" else X.value_lines
+        family = X.header_lines(spark, name, help_text, kind).unionByName(write(samples[name], name, labels))
+        lines = family if lines is None else lines.unionByName(family)
+    return lines
 
 
 @query(f"WITH {EXPOSITION} SELECT value FROM lines")
 def metric_exposition(spark, sf_dir):
     path = scratch_path(spark, "exposition")
     X.write_exposition(_exposition(spark, sf_dir), path)
-    return X.sample_lines(spark.read.text(path))
+    return spark.read.text(path)
 
 
-@query(f"WITH {EXPOSITION} SELECT value FROM lines ORDER BY value LIMIT 5")
+@query(f"WITH {EXPOSITION} SELECT value FROM lines WHERE value NOT LIKE '#%' ORDER BY value LIMIT 5")
 def first_metric_samples(spark, sf_dir):
     return X.first_samples(_exposition(spark, sf_dir).select("value"))
 
@@ -228,7 +275,7 @@ def first_metric_samples(spark, sf_dir):
     f"""WITH {EXPOSITION}
 SELECT regexp_extract(value, '^([a-z_]+)', 1) AS metric, count(*) AS samples,
        round(sum(CAST(regexp_extract(value, ' ([^ ]+)$', 1) AS DOUBLE)), 3) AS total
-FROM lines GROUP BY 1"""
+FROM lines WHERE value NOT LIKE '#%' GROUP BY 1"""
 )
 def parsed_metric_samples(spark, sf_dir):
     parsed = X.parse_samples(_exposition(spark, sf_dir))

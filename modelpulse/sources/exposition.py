@@ -21,14 +21,22 @@ def _labels(names: Sequence[str], le: Column | None = None) -> Column:
     pairs = {n: F.concat(F.lit(f'{n}="'), _escaped(F.col(n)), F.lit('"')) for n in names}
     if le is not None:
         pairs["le"] = F.when(le != "", F.concat(F.lit('le="'), le, F.lit('"')))
-    joined = F.concat_ws(",", *[pairs[n] for n in sorted(pairs)])
+    joined = F.concat_ws(",", *[pairs[n] for n in sorted(pairs)]) if pairs else F.lit("")
     return F.when(joined == "", F.lit("")).otherwise(F.concat(F.lit("{"), joined, F.lit("}")))
 
 
+def _number(value: Column) -> Column:
+    """A number as monitoring clients write it: 25000000.0, not 2.5E7. What four digits can't hold keeps its own form."""
+    value = value.cast("double")
+    plain = value.try_cast("decimal(38,4)")
+    short = F.regexp_replace(F.regexp_replace(plain.cast("string"), "0+$", ""), "[.]$", ".0")
+    return F.when((F.abs(value) < 1e16) & (plain.cast("double") == value), short).otherwise(value.cast("string"))
+
+
 def histogram_lines(long: DataFrame, metric: str, labels: Sequence[str]) -> DataFrame:
     """Sample lines of a long histogram (labels, sample, le, value)."""
     text = F.concat(
-        F.lit(metric + "_"), F.col("sample"), _labels(labels, F.col("le")), F.lit(" "), F.col("value").cast("string")
+        F.lit(metric + "_"), F.col("sample"), _labels(labels, F.col("le")), F.lit(" "), _number(F.col("value"))
     )
     # Buckets by rising bound, then count and sum.
     bound = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.when(F.col("le") != "", F.col("le").cast("double")))
@@ -40,10 +48,9 @@ def histogram_lines(long: DataFrame, metric: str, labels: Sequence[str]) -> Data
 
 def value_lines(values: DataFrame, metric: str, labels: Sequence[str]) -> DataFrame:
     """Sample lines of a counter or gauge (labels, value)."""
-    number = F.col("value").cast("double").cast("string")
     return values.select(
         F.lit(metric).alias("family"), F.lit(2).alias("part"), _labels(labels).alias("series"), F.lit("").alias("sample"),
-        F.lit(0.0).alias("bound"), F.concat(F.lit(metric), _labels(labels), F.lit(" "), number).alias("value"),
+        F.lit(0.0).alias("bound"), F.concat(F.lit(metric), _labels(labels), F.lit(" "), _number(F.col("value"))).alias("value"),
     )
 
 

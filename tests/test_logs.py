@@ -58,6 +58,12 @@ def test_exposition_roundtrip_and_escapes(spark, tmp_path):
     assert (row["metric"], row["sample_value"]) == ("m_total", 3.0)
 
 
+def test_exposition_numbers(spark):
+    values = spark.createDataFrame([(2.5e7,), (0.00001,), (12.34,), (0.0,), (float("nan"),), (1e20,)], "value double")
+    got = [r["value"] for r in X.value_lines(values, "m", []).collect()]
+    assert got == ["m 25000000.0", "m 1.0E-5", "m 12.34", "m 0.0", "m NaN", "m 1.0E20"]
+
+
 def png(text):
     return {"data": {"image/png": base64.b64encode(text.encode()).decode(), "text/plain": "x"}}
 
