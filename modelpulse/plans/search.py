@@ -103,6 +103,25 @@ def vector_search(spark, sf_dir):
     return RT.vector_candidates(vectors.drop("label"), "vec_id", "embedding", means, "label", "centre", 10)
 
 
+def _approximate(spark, sf_dir, approximate=True):
+    """Ten near vectors for every vector whose id is divisible by 20, among all vectors."""
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = vectors.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_asked"))
+    centers = RT.cell_centers(vectors, "vec_id", "embedding") if approximate else None
+    return RT.vector_candidates(vectors, "vec_id", "embedding", asked, "query_id", "_asked", 10, centers=centers)
+
+
+@query()
+def approximate_vector_search(spark, sf_dir):
+    return _approximate(spark, sf_dir)
+
+
+@query("SELECT 10 * count(*) AS wanted, true AS reached FROM embeddings WHERE vec_id % 20 = 0")
+def approximate_search_recall(spark, sf_dir):
+    measured = RT.recall(_approximate(spark, sf_dir), _approximate(spark, sf_dir, False), "query_id", "vec_id")
+    return measured.select("wanted", (F.col("recall") >= 0.9).alias("reached"))
+
+
 @query(f"WITH {BM25}, {VECTOR}, {FUSED} SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM fused_ranked WHERE rank <= 10")
 def hybrid_search(spark, sf_dir):
     lists = [_lexical(spark, sf_dir, DEPTH), _vector(spark, sf_dir, DEPTH)]
