@@ -330,11 +330,28 @@ def _score_by_arrays(rows: DataFrame, model: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, ", ".join([f"_others {kind}", *[f"{c} bigint" for c in SCORED]]))
 
 
-def _score_by_join(rows: DataFrame, model: DataFrame) -> DataFrame:
-    """The same for models too large to send: each text's different n-grams are joined to the costs.
+def gram_costs(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """``_lang``, ``g``, ``cost`` of all n-grams of ``grams``: what :meth:`Arrays.surprise` gives, by joins.
 
-    The model counts the texts themselves, so that all n-grams of the highest order are found.
+    An n-gram that the model lacks costs the backoff of its context and what its last code points cost.
     """
+    left, out = grams.select("_lang", "g", F.col("g").alias("_here"), F.lit(0).cast("bigint").alias("_so_far")), None
+    for k in range(ORDER, 0, -1):
+        table = model.where((F.col("n") == k) & F.col("cost").isNotNull()).select(F.col("lang").alias("_lang"), F.col("gram").alias("_here"), "cost")
+        met = pin(left.join(table, ["_lang", "_here"], "left"))
+        found = met.where(F.col("cost").isNotNull()).select("_lang", "g", (F.col("_so_far") + F.col("cost")).alias("cost"))
+        out = found if out is None else out.unionByName(found)
+        left = met.where(F.col("cost").isNull()).drop("cost")
+        if k > 1:
+            backs = model.where((F.col("n") == k - 1) & F.col("back").isNotNull()).select(F.col("lang").alias("_lang"), F.col("gram").alias("_context"), "back")
+            left = left.withColumn("_context", F.shiftrightunsigned("_here", 16)).join(backs, ["_lang", "_context"], "left")
+            shorter = F.col("_here").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1))
+            left = left.select("_lang", "g", shorter.alias("_here"), (F.col("_so_far") + F.coalesce("back", F.lit(0))).alias("_so_far"))
+    return out.unionByName(left.select("_lang", "g", (F.col("_so_far") + Arrays.unknown).alias("cost")))
+
+
+def _score_by_join(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """The same for models too large to send: each text's different n-grams are joined to the costs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,7 +370,7 @@ def _score_by_join(rows: DataFrame, model: DataFrame) -> DataFrame:
     schema = ", ".join(["_lang string", f"_others {kind}", *[f"{c} bigint" for c in [*BASE, "n_grams"]], "_grams array<bigint>", "_counts array<bigint>"])
     counted = pin(rows.mapInArrow(work, schema).withColumn("_row", F.monotonically_increasing_id()))
     long = counted.select("_row", "_lang", F.explode(F.arrays_zip("_grams", "_counts")).alias("z"))
-    costs = model.where(F.col("n") == ORDER).select(F.col("lang").alias("_lang"), F.col("gram").alias("g"), "cost")
+    costs = gram_costs(long.select("_lang", F.col("z._grams").alias("g")).distinct(), model)
     sums = (
         long.select("_row", "_lang", F.col("z._grams").alias("g"), F.col("z._counts").alias("c"))
         .join(costs, ["_lang", "g"])

@@ -78,6 +78,16 @@ def test_kneser_ney_adds_up_and_both_scorings_agree(spark, monkeypatch):
     assert quality.score(docs).orderBy("doc_id").collect() == sent
 
 
+def test_both_scorings_agree_on_a_held_out_model(spark, monkeypatch):
+    schema = "doc_id bigint, text string, lang string"
+    model = quality.kneser_ney(quality.count_ngrams(spark.createDataFrame([(1, "the cat sat on the mat. the hat", "en")], schema)))
+    docs = spark.createDataFrame([(2, "the zebra sat: qqq \u2603\u2603", "en"), (3, "le chat", "fr"), (4, "the cat", "en"), (5, None, "en")], schema)
+    sent = quality.score(docs, model=model).orderBy("doc_id").collect()
+    monkeypatch.setattr(quality, "MAX_SHIPPED", 0)
+    assert quality.score(docs, model=model).orderBy("doc_id").collect() == sent
+    assert [r.micronats == 20_000_000 * r.n_grams for r in sent] == [False, True, False, True]
+
+
 def test_perplexity_bands_reject_another_language(spark):
     r = random.Random(3)
     speak = lambda alphabet: " ".join("".join(r.choice(alphabet) for _ in range(r.randrange(2, 8))) for _ in range(200))
