@@ -7,9 +7,13 @@ of the counted table. An n-gram of four code points fits into 64 bits, so the ha
 arrays is a bijection and no two n-grams share an entry. Log probabilities are whole micronats: sums
 do not depend on the order of summation.
 
-A text's score is its mean surprise per n-gram in nats, the logarithm of its perplexity. The bands of a
-language are its median score -/+ a multiple of the spread (scaled median absolute deviation, found
-in a histogram of all scores), widened for short texts by the error of a mean over few n-grams.
+A text is scored by a model that has not counted it: texts fall into two folds by the hash of the text, so
+that equal ones stay together, and each fold is scored by the n-grams of the other.
+
+A text's score is its surprise in nats per word that holds a letter or digit, the logarithm of its perplexity
+per word. Per n-gram the signs strewn into a text would hide: a run of them is long and, once begun, cheap.
+The bands of a language are its median score -/+ a multiple of the spread (scaled median absolute deviation,
+found in a histogram of all scores), widened for short texts by the error of a mean over few words.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from modelpulse.llm.registry import query
-from modelpulse.llm.text import Batch, RangeHash, bounded_batches, documents, is_space, mix64, read, signed, windows
+from modelpulse.llm.text import Batch, RangeHash, bounded_batches, documents, is_separator, is_space, mix64, read, signed, windows
 from modelpulse.operators.ordered import join_totals
 from modelpulse.session import pin
 
@@ -37,8 +41,8 @@ SYMBOLS = "#*$%&|<>"
 # Bands: so many spreads from the median, and so many standard errors of a text's own mean.
 SPREADS = 6.0
 ERRORS = 3.0
-# Standard deviation of the surprise of one n-gram in nats, for the error of a mean.
-DEVIATION = 1.5
+# What the surprise of one word in nats deviates by beyond the spread of the texts, for the error of a mean.
+DEVIATION = 2.5
 MIN_SPREAD = 0.02
 BINS_PER_NAT = 200
 MICRO = 1_000_000
@@ -48,6 +52,9 @@ MAX_SHIPPED = 6_000_000
 # N-grams that a counting task holds before it passes them on.
 HELD = 1_500_000
 
+# Folds by which a text's own n-grams are kept out of its model.
+FOLDS = 2
+
 _U = np.uint64
 
 
@@ -56,6 +63,12 @@ def language(docs: DataFrame, lang_col: str | None):
     return F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col else F.lit("")
 
 
+def model_key(docs: DataFrame, text_col: str, lang_col: str | None, counted: bool):
+    """The model of a language that scores a text, or (``counted``) the one that counts it: that of the other fold."""
+    fold = F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(FOLDS))
+    return F.concat((FOLDS - 1 - fold if counted else fold).cast("string"), F.lit(" "), language(docs, lang_col))
+
+
 def char_ngrams(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams inside the texts, packed, and the number in each text.
 
@@ -76,8 +89,11 @@ def char_ngrams(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
     return packed[inside], lengths
 
 
-def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """``lang``, ``gram`` (packed), ``c``: how often every n-gram occurs in all texts of a language."""
+def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", held_out: bool = False) -> DataFrame:
+    """``lang``, ``gram`` (packed), ``c``: how often every n-gram occurs in all texts of a language.
+
+    With ``held_out``, ``lang`` is the fold that the counts are to score and the language.
+    """
     bounded_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +134,8 @@ def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str | None =
                     size = 0
         yield from flush()
 
-    rows = docs.select(language(docs, lang_col).alias("lang"), F.col(text_col).alias("text"))
+    key = model_key(docs, text_col, lang_col, True) if held_out else language(docs, lang_col)
+    rows = docs.select(key.alias("lang"), F.col(text_col).alias("text"))
     parts = rows.mapInArrow(work, "lang string, gram bigint, c bigint")
     return parts.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
@@ -237,9 +254,11 @@ def collect_models(model: DataFrame) -> dict[str, Arrays]:
 
 
 def base_statistics(batch: Batch) -> dict[str, np.ndarray]:
-    """Per text: words, code points in words, symbols, repeated lines, words in repeated windows."""
+    """Per text: words, those with a letter or digit, code points in words, symbols, repeated lines, words in repeated windows."""
     n, p = batch.n, batch.points
     doc = batch.doc()
+    letters = np.concatenate(([0], np.cumsum(~is_separator(p))))
+    lettered = letters[batch.end] > letters[batch.start]
     chars = np.bincount(doc, weights=batch.end - batch.start, minlength=n).astype(np.int64)
     symbol = np.isin(p, np.array([ord(c) for c in SYMBOLS], dtype=p.dtype))
     total = np.concatenate(([0], np.cumsum(symbol)))
@@ -264,6 +283,7 @@ def base_statistics(batch: Batch) -> dict[str, np.ndarray]:
     inside = np.cumsum(covered)[:-1] > 0
     return {
         "n_words": batch.n_words.astype(np.int64),
+        "n_lettered": np.bincount(doc, weights=lettered, minlength=n).astype(np.int64),
         "word_chars": chars,
         "n_symbols": symbols.astype(np.int64),
         "n_dup_lines": repeated.astype(np.int64),
@@ -280,22 +300,29 @@ def _distinct(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(d[new], minlength=n)
 
 
-BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+BASE = ["n_words", "n_lettered", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SCORED = [*BASE, "n_grams", "micronats"]
 
 
-def score(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", model: DataFrame | None = None) -> DataFrame:
+def held_out_model(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+    return kneser_ney(count_ngrams(docs, text_col, lang_col, True))
+
+
+def score(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", model: DataFrame | None = None, held_out: bool = False) -> DataFrame:
     """Every row with its base statistics, ``n_grams`` and ``micronats``, the summed surprise.
 
-    ``model`` is that of :func:`kneser_ney`, by default counted from ``docs`` themselves. A null text is
-    empty: no words, no n-grams. Columns of the input with the new names are replaced.
+    ``model`` is that of :func:`kneser_ney`; with ``held_out`` its counts were held out. By default it is counted
+    from ``docs`` themselves, held out. A null text is empty: no words, no n-grams. Columns of the input with the
+    new names are replaced.
     """
     bounded_batches(docs.sparkSession)
-    model = pin(kneser_ney(count_ngrams(docs, text_col, lang_col)) if model is None else model)
+    held_out = held_out or model is None
+    model = pin(held_out_model(docs, text_col, lang_col) if model is None else model)
     others = [c for c in docs.columns if c not in SCORED and c != text_col]
     # The other columns travel as one, so that none of their names can clash with those used here.
     packed = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_none"))
-    rows = docs.select(F.col(text_col).alias("_text"), language(docs, lang_col).alias("_lang"), packed.alias("_others"))
+    key = model_key(docs, text_col, lang_col, False) if held_out else language(docs, lang_col)
+    rows = docs.select(F.col(text_col).alias("_text"), key.alias("_lang"), packed.alias("_others"))
     if model.count() > MAX_SHIPPED:
         scored = _score_by_join(rows, model)
     else:
@@ -381,12 +408,17 @@ def _score_by_join(rows: DataFrame, model: DataFrame) -> DataFrame:
     return joined.withColumn("micronats", F.coalesce("micronats", F.lit(0))).select("_others", *SCORED)
 
 
+def per_word():
+    """Micronats per word with a letter or digit; all of them where there is no such word."""
+    return F.col("micronats") / F.greatest("n_lettered", F.lit(1))
+
+
 def base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
 def perplexity_bands(scored: DataFrame, lang_col: str | None = "lang", spreads: float = SPREADS) -> DataFrame:
-    """``_band_lang``, ``low``, ``high``, the bands of log perplexity of each language.
+    """``_band_lang``, ``low``, ``high``, the bands of log perplexity per word of each language.
 
     Median and median absolute deviation are read from a histogram of the scores of all texts that pass
     the base rules, so that no language is gathered in one task.
@@ -394,12 +426,12 @@ def perplexity_bands(scored: DataFrame, lang_col: str | None = "lang", spreads:
     lang = language(scored, lang_col)
     bins = (
         scored.where(~base_failed() & (F.col("n_grams") > 0))
-        .groupBy(lang.alias("_band_lang"), F.floor(F.col("micronats") / F.nullif(F.col("n_grams"), F.lit(0)) * (BINS_PER_NAT / MICRO)).alias("b"))
+        .groupBy(lang.alias("_band_lang"), F.floor(per_word() * (BINS_PER_NAT / MICRO)).alias("b"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
 
     def median(table: DataFrame, value: str) -> DataFrame:
-        # At most some thousand bins per language.
+        # Some thousand bins per language.
         upto = Window.partitionBy("_band_lang").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         marked = table.select("*", F.sum("c").over(upto).alias("_cum"), F.sum("c").over(Window.partitionBy("_band_lang")).alias("_all"))
         return marked.where(2 * F.col("_cum") >= F.col("_all")).groupBy("_band_lang").agg(F.min(value).alias("m"))
@@ -418,8 +450,8 @@ def judge(scored: DataFrame, bands: DataFrame, lang_col: str | None = "lang") ->
     Kept are texts that pass the base rules and lie within the bands of their language; a text without
     n-grams fails the base rules by its few words.
     """
-    mean = F.col("micronats") / F.nullif(F.col("n_grams"), F.lit(0)) / MICRO
-    error = ERRORS * DEVIATION / F.sqrt(F.greatest("n_grams", F.lit(1)))
+    mean = per_word() / MICRO
+    error = ERRORS * DEVIATION / F.sqrt(F.greatest("n_lettered", F.lit(1)))
     # One row per language: sent to the texts if counted few, so that a language is not gathered in one task.
     joined = join_totals(scored.withColumn("_band_lang", language(scored, lang_col)), bands, ["_band_lang"], "left")
     joined = joined.withColumn("base_failed", base_failed()).withColumn("log_perplexity", F.when(F.col("n_grams") > 0, mean))
@@ -438,12 +470,12 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str | None = "l
 
     The texts are scored twice, for the bands and for the verdict, rather than stored or shuffled.
     """
-    model = pin(kneser_ney(count_ngrams(docs, text_col, lang_col)))
-    scored = score(docs.select(*[c for c in (text_col, lang_col) if c]), text_col, lang_col, model)
+    model = pin(held_out_model(docs, text_col, lang_col))
+    scored = score(docs.select(*[c for c in (text_col, lang_col) if c]), text_col, lang_col, model, held_out=True)
     bands = pin(perplexity_bands(scored, lang_col))
     # The row travels as one column, so that none of its names can clash.
     packed = docs.select(F.struct("*").alias("_doc"), *[c for c in (text_col, lang_col) if c])
-    clean = judge(score(packed, text_col, lang_col, model), bands, lang_col).where("kept")
+    clean = judge(score(packed, text_col, lang_col, model, held_out=True), bands, lang_col).where("kept")
     return clean.select("_doc.*")
 
 

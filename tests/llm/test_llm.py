@@ -96,6 +96,26 @@ def test_perplexity_bands_reject_another_language(spark):
     assert {r.doc_id for r in got if not r.kept} == {60}
 
 
+def test_bands_reject_labelled_junk(spark):
+    """Of the labelled texts of the larger table that pass the base rules, nearly all low ones go and nearly all good ones stay."""
+    docs, labels = (load(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    got = quality.quality_verdicts(docs).where("NOT base_failed").join(labels, "doc_id", "left")
+    n = {(r.quality, r.littered): r for r in got.groupBy("quality", (F.col("n_symbols") > 0.3 * F.col("n_words")).alias("littered")).agg(F.count("*").alias("all"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    total = lambda keep, what: sum(getattr(r, what) for k, r in n.items() if keep(*k))
+    for keep, least, most in ((lambda q, s: q == 0, 0, 0.1), (lambda q, s: s, 0, 0.02), (lambda q, s: q == 1, 0.99, 1)):
+        share = total(keep, "kept") / total(keep, "all")
+        print(total(keep, "kept"), "of", total(keep, "all"), "kept")
+        assert least <= share <= most
+
+
+def test_a_text_is_not_scored_by_its_own_ngrams(spark):
+    docs = spark.createDataFrame([(i, "word after word goes by", "en") for i in range(5)] + [(9, "qqzz xxyy", "en")], "doc_id bigint, text string, lang string")
+    model = quality.held_out_model(docs)
+    for r in docs.select(quality.model_key(docs, "text", "lang", False).alias("key"), "text").distinct().collect():
+        own = set(quality.signed(quality.char_ngrams(quality.read([r.text], lower=True))[0]).tolist())
+        assert not own & {m.gram for m in model.where((F.col("lang") == r.key) & (F.col("n") == 4)).collect()}
+
+
 def test_byte_bpe_equals_tiktoken(spark, sf_dir, texts):
     import public_tokenizers as P
     import tiktoken
