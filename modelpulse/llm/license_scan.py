@@ -18,69 +18,73 @@ from modelpulse.llm.text import documents
 # Phrases that always count, with their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-# Licenses: label, keyword, pattern of the name over normalised words.
+# Licenses: label, keyword that every branch of the pattern holds, pattern of the name over normalised words.
 LICENSES = [
     ("mit", "mit", "mit"),
     ("mit-0", "mit", "mit (no attribution|0)"),
-    ("apache-1.1", "apache", "apache( software)?( license)?( version| v)? ?1 1"),
-    ("apache-2.0", "apache", "apache( software)?( license)?( version| v)? ?2( 0)?"),
-    ("gpl-1.0", "general public", "gnu general public license( version| v)? ?1"),
-    ("gpl-2.0", "general public", "gnu general public license( version| v)? ?2( 0)?"),
-    ("gpl-3.0", "general public", "gnu general public license( version| v)? ?3( 0)?"),
-    ("gpl-2.0-short", "gpl", "gpl( version| v)? ?2( 0)?"),
-    ("gpl-3.0-short", "gpl", "gpl( version| v)? ?3( 0)?"),
-    ("lgpl-2.0", "library general", "gnu library general public license( version| v)? ?2( 0)?"),
-    ("lgpl-2.1", "lesser general", "gnu lesser general public license( version| v)? ?2 1"),
-    ("lgpl-3.0", "lesser general", "gnu lesser general public license( version| v)? ?3( 0)?"),
-    ("lgpl", "lgpl", "lgpl( version| v)?( ?[23]( [01])?)?"),
-    ("agpl-3.0", "affero", "gnu affero general public license( version| v)?( ?3( 0)?)?"),
-    ("agpl-3.0-short", "agpl", "agpl( version| v)?( ?3( 0)?)?"),
-    ("gfdl", "documentation", "gnu free documentation license( version| v)?( ?1 [123])?"),
+    ("apache-1.1", "apache", "apache( software)?( license)?( version| ?v)? ?1 1"),
+    ("apache-2.0", "apache", "apache( software)?( license)?( version| ?v)? ?2( 0)?"),
+    ("gpl", "general public", "(gnu )?general public license"),
+    ("gpl", "gpl", "(gnu )?gpl"),
+    ("gpl-1.0", "general public", "(gnu )?general public license( version| ?v)? ?1"),
+    ("gpl-2.0", "general public", "(gnu )?general public license( version| ?v)? ?2( 0)?"),
+    ("gpl-3.0", "general public", "(gnu )?general public license( version| ?v)? ?3( 0)?"),
+    ("gpl-1.0-short", "gpl", "(gnu )?gpl( version| ?v)? ?1( 0)?"),
+    ("gpl-2.0-short", "gpl", "(gnu )?gpl( version| ?v)? ?2( 0)?"),
+    ("gpl-3.0-short", "gpl", "(gnu )?gpl( version| ?v)? ?3( 0)?"),
+    ("lgpl-2.0", "library general", "(gnu )?library general public license( version| ?v)? ?2( 0)?"),
+    ("lgpl-2.1", "lesser general", "(gnu )?lesser general public license( version| ?v)? ?2 1"),
+    ("lgpl-3.0", "lesser general", "(gnu )?lesser general public license( version| ?v)? ?3( 0)?"),
+    ("lgpl", "general public", "(gnu )?(library|lesser) general public license"),
+    ("lgpl", "lgpl", "(gnu )?lgpl( version| ?v)?( ?[23]( [01])?)?"),
+    ("agpl-3.0", "affero", "(gnu )?affero general public license( version| ?v)?( ?3( 0)?)?"),
+    ("agpl-3.0-short", "agpl", "(gnu )?agpl( version| ?v)?( ?3( 0)?)?"),
+    ("gfdl", "documentation", "gnu free documentation license( version| ?v)?( ?1 [123])?"),
     ("bsd-2-clause", "bsd", "(bsd (2|two) clause|simplified bsd|(2|two) clause bsd|freebsd)"),
     ("bsd-3-clause", "bsd", "(bsd (3|three) clause|(new|modified|revised) bsd|(3|three) clause bsd)"),
     ("bsd-4-clause", "bsd", "(bsd (4|four) clause|original bsd|(4|four) clause bsd)"),
     ("0bsd", "bsd", "(0bsd|zero clause bsd|bsd zero clause)"),
     ("bsd", "bsd", "bsd"),
     ("isc", "isc", "isc"),
-    ("mpl-1.1", "mozilla", "mozilla public license( version| v)? ?1 1"),
-    ("mpl-2.0", "mozilla", "mozilla public license( version| v)?( ?2( 0)?)?"),
-    ("mpl-short", "mpl", "mpl( version| v)?( ?(1 1|2 0))?"),
-    ("epl-1.0", "eclipse", "eclipse public license( version| v)? ?1( 0)?"),
-    ("epl-2.0", "eclipse", "eclipse public license( version| v)?( ?2( 0)?)?"),
-    ("cddl-1.0", "cddl", "cddl( version| v)?( ?1 0)?"),
-    ("cddl-long", "distribution", "common development and distribution license( version| v)?( ?1 [01])?"),
-    ("cpl-1.0", "common public", "common public license( version| v)?( ?1 0)?"),
-    ("epl-ibm", "ibm", "ibm public license( version| v)?( ?1 0)?"),
-    ("artistic-1.0", "artistic", "artistic license( version| v)? ?1( 0)?"),
-    ("artistic-2.0", "artistic", "artistic license( version| v)?( ?2( 0)?)?"),
+    ("mpl-1.1", "mozilla", "mozilla public license( version| ?v)? ?1 1"),
+    ("mpl-2.0", "mozilla", "mozilla public license( version| ?v)?( ?2( 0)?)?"),
+    ("mpl-short", "mpl", "mpl( version| ?v)?( ?(1 1|2 0))?"),
+    ("epl-1.0", "eclipse", "eclipse public license( version| ?v)? ?1( 0)?"),
+    ("epl-2.0", "eclipse", "eclipse public license( version| ?v)?( ?2( 0)?)?"),
+    ("cddl-1.0", "cddl", "cddl( version| ?v)?( ?1 0)?"),
+    ("cddl-long", "distribution", "common development and distribution license( version| ?v)?( ?1 [01])?"),
+    ("cpl-1.0", "common public", "common public license( version| ?v)?( ?1 0)?"),
+    ("epl-ibm", "ibm", "ibm public license( version| ?v)?( ?1 0)?"),
+    ("artistic-1.0", "artistic", "artistic license( version| ?v)? ?1( 0)?"),
+    ("artistic-2.0", "artistic", "artistic license( version| ?v)?( ?2( 0)?)?"),
     ("zlib", "zlib", "zlib( libpng)?"),
     ("libpng", "libpng", "libpng"),
-    ("bsl-1.0", "boost", "boost software license( version| v)?( ?1 0)?"),
+    ("bsl-1.0", "boost", "boost software license( version| ?v)?( ?1 0)?"),
     ("unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl( version| v)?( ?2)?"),
+    ("wtfpl", "wtfpl", "wtfpl( version| ?v)?( ?2)?"),
     ("cc0-1.0", "cc0", "cc0( 1 0)?( universal)?"),
-    ("cc-by-3.0", "attribution", "creative commons attribution( license)?( version| v)? ?3( 0)?"),
-    ("cc-by-4.0", "attribution", "creative commons attribution( international)?( license)?( version| v)? ?4( 0)?"),
-    ("cc-by-sa-3.0", "sharealike", "creative commons attribution share ?alike( license)?( version| v)? ?3( 0)?"),
-    ("cc-by-sa-4.0", "sharealike", "creative commons attribution share ?alike( license)?( version| v)? ?4( 0)?"),
-    ("cc-by-nc-4.0", "noncommercial", "creative commons attribution non ?commercial( license)?( version| v)?( ?4( 0)?)?"),
-    ("cc-by-nd-4.0", "noderivatives", "creative commons attribution no ?deriv(ative)?s( license)?( version| v)?( ?4( 0)?)?"),
+    ("cc-by-3.0", "creative commons attribution", "creative commons attribution( license)?( version| ?v)? ?3( 0)?"),
+    ("cc-by-4.0", "creative commons attribution", "creative commons attribution( international)?( license)?( version| ?v)? ?4( 0)?"),
+    ("cc-by-sa-3.0", "creative commons attribution", "creative commons attribution share ?alike( license)?( version| ?v)? ?3( 0)?"),
+    ("cc-by-sa-4.0", "creative commons attribution", "creative commons attribution share ?alike( license)?( version| ?v)? ?4( 0)?"),
+    ("cc-by-nc-4.0", "creative commons attribution", "creative commons attribution non ?commercial( license)?( version| ?v)?( ?4( 0)?)?"),
+    ("cc-by-nd-4.0", "creative commons attribution", "creative commons attribution no ?deriv(ative)?s( license)?( version| ?v)?( ?4( 0)?)?"),
     ("cc-by", "cc by", "cc by( [1-4] 0)?"),
     ("cc-by-sa", "cc by", "cc by sa( [1-4] 0)?"),
     ("cc-by-nc", "cc by", "cc by nc( [1-4] 0)?"),
     ("cc-by-nc-sa", "cc by", "cc by nc sa( [1-4] 0)?"),
     ("cc-by-nc-nd", "cc by", "cc by nc nd( [1-4] 0)?"),
-    ("python-2.0", "python", "python( software foundation)?( license)?( version| v)? ?2( 0)?"),
+    ("python-2.0", "python", "python( software foundation)?( license)?( version| ?v)? ?2( 0)?"),
     ("psf", "psf", "psf( license)?"),
     ("ruby", "ruby", "ruby"),
-    ("php-3.01", "php", "php( license)?( version| v)?( ?3 0[01])?"),
+    ("php-3.01", "php", "php( license)?( version| ?v)?( ?3 0[01])?"),
     ("openssl", "openssl", "openssl"),
-    ("ofl-1.1", "open font", "(sil )?open font license( version| v)?( ?1 [01])?"),
-    ("odbl-1.0", "database", "open (data commons )?database license( version| v)?( ?1 0)?"),
+    ("ofl-1.1", "open font", "(sil )?open font license( version| ?v)?( ?1 [01])?"),
+    ("odbl-1.0", "database", "open (data commons )?database license( version| ?v)?( ?1 0)?"),
     ("ms-pl", "microsoft", "microsoft public license"),
     ("ms-rl", "microsoft", "microsoft reciprocal license"),
-    ("eupl-1.2", "european", "european union public licen[cs]e( version| v)?( ?1 [12])?"),
-    ("upl-1.0", "universal", "universal permissive license( version| v)?( ?1 0)?"),
+    ("eupl-1.2", "european", "european union public licen[cs]e( version| ?v)?( ?1 [12])?"),
+    ("upl-1.0", "universal", "universal permissive license( version| ?v)?( ?1 0)?"),
     ("postgresql", "postgresql", "postgresql"),
     ("ncsa", "ncsa", "(university of illinois )?ncsa( open source)?"),
     ("vim", "vim", "vim"),
@@ -97,25 +101,27 @@ FORMS = [
     (50, "{name} licen[cs]e"),
 ]
 
-# Sentences of the license texts themselves: priority, label, keyword, pattern.
+# Sentences of the license texts themselves: priority, label, keyword that every branch holds, pattern.
 TEXTS = [
     (95, "mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
-    (95, "isc", "hereby granted", "permission to use copy modify and or distribute this software for any purpose"),
+    (95, "isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose"),
     (95, "bsd", "redistribution", "redistribution and use in source and binary forms with or without modification"),
-    (85, "bsd-3-clause", "endorse", "(neither the name of|nor the names of its contributors may be used to endorse)"),
+    (85, "bsd-3-clause", "neither the name of", "neither the name of"),
+    (85, "bsd-3-clause", "endorse", "nor the names of its contributors may be used to endorse"),
     (95, "gpl", "free software", "this program is free software you can redistribute it and or modify"),
     (95, "lgpl", "free software", "this library is free software you can redistribute it and or modify"),
     (95, "zlib", "altered", "altered source versions must be plainly marked as such"),
     (95, "unlicense", "unencumbered", "free and unencumbered software released into the public domain"),
     (85, "public-domain", "public domain", "(released|placed|dedicated|is)( in| into| to)( the)? public domain"),
     (85, "mpl-2.0", "source code form", "this source code form is subject to the terms of the mozilla public license"),
-    (85, "apache-2.0", "apache", "you may not use this file except in compliance with the license"),
+    (85, "apache-2.0", "in compliance with the license", "you may not use this file except in compliance with the license"),
     (85, "epl", "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
-    (80, "proprietary", "proprietary", "(proprietary and confidential|unauthorized copying of this file)"),
+    (80, "proprietary", "proprietary", "proprietary and confidential"),
+    (80, "proprietary", "unauthorized copying", "unauthorized copying of this file"),
 ]
 
 # Stems that every rule needs one of.
-STEMS = ["licen", "spdx", "hereby granted", "permission to use", "redistribut", "endorse", "free software", "altered source",
+STEMS = ["licen", "spdx", "hereby granted", "permission to use", "redistribut", "endorse", "neither the name of", "unauthorized copying", "free software", "altered source",
          "unencumbered", "public domain", "proprietary", "confidential", " under ", "subject to", "governed by", "according to", " see "]
 
 
