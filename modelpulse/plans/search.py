@@ -47,6 +47,11 @@ fused AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank)), 9) AS score FROM
   UNION ALL SELECT item_id, doc_id, rank FROM vec_ranked WHERE rank <= {DEPTH}) GROUP BY item_id, doc_id),
 fused_ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused)
 """
+FULLY_FUSED = """
+fully_fused AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank)), 9) AS score FROM (
+  SELECT item_id, doc_id, rank FROM lex_ranked UNION ALL SELECT item_id, doc_id, rank FROM vec_ranked) GROUP BY item_id, doc_id),
+fully_ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fully_fused)
+"""
 RERANKED = f"""
 reranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM (
   SELECT c.item_id, c.doc_id,
@@ -56,11 +61,14 @@ reranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DE
 """
 
 
-def _lexical(spark, sf_dir, k) -> DataFrame:
-    scores = RT.bm25_scores(
+def _lexical_scores(spark, sf_dir) -> DataFrame:
+    return RT.bm25_scores(
         load_texts(spark, sf_dir, "documents"), "doc_id", "text", load(spark, sf_dir, "benchmark"), "item_id", "text"
     )
-    return RT.top_per_query(scores, "item_id", "doc_id", k)
+
+
+def _lexical(spark, sf_dir, k) -> DataFrame:
+    return RT.top_per_query(_lexical_scores(spark, sf_dir), "item_id", "doc_id", k)
 
 
 def _item_vectors(spark, sf_dir) -> DataFrame:
@@ -128,6 +136,14 @@ def hybrid_search(spark, sf_dir):
     return RT.reciprocal_rank_fusion(lists, "item_id", "doc_id", 10)
 
 
+@query(f"WITH {BM25}, {VECTOR}, {FULLY_FUSED} SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM fully_ranked WHERE rank <= 10")
+def full_hybrid_search(spark, sf_dir):
+    """Fusion of the whole lists: every document counts with its rank in each, however far down."""
+    vectors = RT.vector_scores(_document_vectors(spark, sf_dir), "doc_id", "embedding", _item_vectors(spark, sf_dir), "item_id", "embedding")
+    lists = [RT.full_ranks(scores, "item_id", "doc_id") for scores in (_lexical_scores(spark, sf_dir), vectors)]
+    return RT.reciprocal_rank_fusion(lists, "item_id", "doc_id", 10)
+
+
 def _reranked(spark, sf_dir, candidates):
     return RT.rerank(
         candidates, "item_id", "doc_id", _document_vectors(spark, sf_dir), "embedding", _item_vectors(spark, sf_dir), "embedding", 10
