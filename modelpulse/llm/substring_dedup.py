@@ -1,7 +1,8 @@
 """Substring dedup: spans of consecutive sentences that stand elsewhere before are removed.
 
 A span is the shortest run of at least two sentences with at least 20 words, once forwards from every
-sentence and once backwards, so that a repeated passage is covered to its last sentence. Spans are compared
+sentence and once backwards, so that a repeated passage is covered to its last sentence; or a single sentence
+of at least 50 words, such as a long line without a full stop. Spans are compared
 by 96-bit hashes of their words in lower case. Repeats inside a document are found in the task; between
 documents, the smallest id of every hash is found with map-side combine and joined back to the spans. Only
 hashes and places travel until the end, when the texts that lose something are joined to what they lose.
@@ -21,6 +22,8 @@ from modelpulse.llm.text import Batch, RangeHash, bounded_batches, documents, mi
 
 MIN_SENTENCES = 2
 MIN_WORDS = 20
+# Words from which a sentence is a span by itself.
+LONG_SENTENCE = 50
 
 
 def sentences(batch: Batch) -> tuple[np.ndarray, np.ndarray]:
@@ -49,8 +52,9 @@ def spans(batch: Batch, hashes: np.ndarray, min_sentences: int, min_words: int)
     back = np.minimum(ends - min_sentences, np.searchsorted(first, first[1:] - min_words, "right") - 1)
     good = ahead <= of_text[text + 1]
     fine = back >= of_text[text]
-    start = np.concatenate((at[good], back[fine]))
-    end = np.concatenate((ahead[good], ends[fine]))
+    long = np.diff(first) >= LONG_SENTENCE
+    start = np.concatenate((at[good], back[fine], at[long]))
+    end = np.concatenate((ahead[good], ends[fine], ends[long]))
     if not len(start):
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)

@@ -321,6 +321,15 @@ def test_substring_dedup_removes_later_copies(spark):
     assert all(got[n].text == docs[n] for n in docs if n not in (8, 15))
 
 
+def test_substring_dedup_finds_a_long_sentence_alone(spark):
+    line = " ".join(f"item{i}" for i in range(60))
+    short = " ".join(f"thing{i}" for i in range(40))
+    docs = [(n, f"Before {n} it was.\n{line}\n{short}\nAfter {n} it is.") for n in (1, 2)]
+    got = {r.doc_id: r for r in substring_dedup.drop_repeated_sentences(spark.createDataFrame([(n, t.replace(short, f"{short} {n}")) for n, t in docs], "doc_id bigint, text string")).collect()}
+    assert got[1].n_removed == 0 and got[2].n_removed == 1 and got[2].first_docs == [1]
+    assert line not in got[2].text and short in got[2].text
+
+
 def test_html_text(spark, sf_dir):
     page = (
         "<html><head><title>t</title><script>var a='<p>';</script></head><body><nav><a href=/>Home</a></nav><div class='cookie-notice'>We use cookies.</div>"
