@@ -66,7 +66,7 @@ def spans(batch: Batch, hashes: np.ndarray, min_sentences: int, min_words: int)
 
 
 def span_table(docs: DataFrame, id_col: str, text_col: str, min_sentences: int, min_words: int) -> DataFrame:
-    """``doc_id``, ``s``, ``e`` (sentences of the document), ``h1``, ``h2``, ``again`` (repeats an earlier span of the document)."""
+    """``doc_id``, ``text_key`` (hash of the text), ``s``, ``e`` (sentences of the document), ``h1``, ``h2``, ``again`` (repeats an earlier span of the document)."""
     bounded_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,31 +77,31 @@ def span_table(docs: DataFrame, id_col: str, text_col: str, min_sentences: int,
             text, s, e, one, two = (x[order] for x in (text, s, e, one, two))
             again = np.zeros(len(text), dtype=bool)
             again[1:] = (text[1:] == text[:-1]) & (one[1:] == one[:-1]) & (two[1:] == two[:-1])
-            ids = batch.column(0).take(pa.array(text, pa.int64()))
+            ids, keys = (batch.column(k).take(pa.array(text, pa.int64())) for k in (0, 2))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(signed(one)), pa.array((two >> np.uint64(33)).astype(np.int32)), pa.array(again)],
-                names=["doc_id", "s", "e", "h1", "h2", "again"],
+                [ids, keys, pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(signed(one)), pa.array((two >> np.uint64(33)).astype(np.int32)), pa.array(again)],
+                names=["doc_id", "text_key", "s", "e", "h1", "h2", "again"],
             )
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), text_col)
-    return rows.mapInArrow(work, "doc_id bigint, s int, e int, h1 bigint, h2 int, again boolean")
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), text_col, F.xxhash64(text_col).alias("text_key"))
+    return rows.mapInArrow(work, "doc_id bigint, text_key bigint, s int, e int, h1 bigint, h2 int, again boolean")
 
 
 def repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id``, ``removed`` (sentences covered by a span that is not the first of its kind, from 0, in order) and
-    ``first_docs`` (the documents that hold the first ones), for every document that loses something.
+    """``doc_id``, ``text_key``, ``removed`` (sentences covered by a span that is not the first of its kind, from 0, in order) and
+    ``first_docs`` (the documents that hold the first ones), for every text that loses something.
 
     First is the smallest document id and the earliest place in it. Rows with equal ids are one document: they don't
-    repeat one another. Rows with a null id and null or empty texts take no part.
+    repeat one another, but each text has places of its own. Rows with a null id and null or empty texts take no part.
     """
     table = span_table(docs, id_col, text_col, min_sentences, min_words)
     once = table.where(~F.col("again"))
     firsts = once.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last"))
     firsts = firsts.where("first_doc < _last").select("h1", "h2", "first_doc")
-    between = once.join(firsts, ["h1", "h2"]).where("doc_id > first_doc").select("doc_id", "s", "e", "first_doc")
-    inside = table.where("again").select("doc_id", "s", "e", F.col("doc_id").alias("first_doc"))
+    between = once.join(firsts, ["h1", "h2"]).where("doc_id > first_doc").select("doc_id", "text_key", "s", "e", "first_doc")
+    inside = table.where("again").select("doc_id", "text_key", "s", "e", F.col("doc_id").alias("first_doc"))
     cover = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("s", F.col("e") - 1)))))
-    return between.unionByName(inside).groupBy("doc_id").agg(cover.alias("removed"), F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
+    return between.unionByName(inside).groupBy("doc_id", "text_key").agg(cover.alias("removed"), F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
 
 
 def drop_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, only_changed: bool = False) -> DataFrame:
@@ -111,10 +111,11 @@ def drop_repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: s
     A sentence goes with the white space after it; what is left is as it was. Columns of the input with the new names
     are replaced.
     """
-    gone = repeated_sentences(docs, id_col, text_col, min_sentences, min_words).select(F.col("doc_id").alias("_id"), "removed", F.col("first_docs").alias("_firsts"))
+    gone = repeated_sentences(docs, id_col, text_col, min_sentences, min_words).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "removed", F.col("first_docs").alias("_firsts"))
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "first_docs")]
     joined = docs.select(F.struct(*names).alias("_doc"), F.col(id_col).cast("bigint").alias("_own"), F.col(text_col).alias("_text"))
-    joined = joined.join(gone, F.col("_own") == F.col("_id"), "inner" if only_changed else "left").select("_doc", "_text", "removed", "_firsts")
+    same = (F.col("_own") == F.col("_id")) & (F.xxhash64("_text") == F.col("_key"))
+    joined = joined.join(gone, same, "inner" if only_changed else "left").select("_doc", "_text", "removed", "_firsts")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

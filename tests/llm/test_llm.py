@@ -330,6 +330,14 @@ def test_substring_dedup_finds_a_long_sentence_alone(spark):
     assert line not in got[2].text and short in got[2].text
 
 
+def test_substring_dedup_of_different_texts_under_one_id(spark):
+    passage = " ".join(f"word{i}." for i in range(30))
+    own = " ".join(f"other{i}." for i in range(40))
+    docs = [(1, passage), (2, own + " " + passage), (2, "Just one sentence."), (2, " ".join(f"more{i}." for i in range(80)))]
+    got = substring_dedup.drop_repeated_sentences(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((r.text.strip(), r.n_removed) for r in got) == sorted([(passage, 0), (own, 30), (docs[2][1], 0), (docs[3][1], 0)])
+
+
 def test_html_text(spark, sf_dir):
     page = (
         "<html><head><title>t</title><script>var a='<p>';</script></head><body><nav><a href=/>Home</a></nav><div class='cookie-notice'>We use cookies.</div>"
