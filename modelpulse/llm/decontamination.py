@@ -52,7 +52,10 @@ def _lower(texts: list[str | None]) -> list[str]:
 
 
 def item_words(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item_id``, ``words`` (hashes in order). Items without an id or without words are left out."""
+    """``item`` (a number made of the words), ``words`` (hashes in order), ``ids``: one row for all items of the same words.
+
+    Items without words are left out. ``ids`` holds no nulls, so it is empty where no item has an id.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,32 +64,33 @@ def item_words(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
             words = [hashes[a:b].tolist() for a, b in zip(parsed.first, parsed.first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64()))], names=["item_id", "words"])
 
-    rows = items.select(F.col(id_col).cast("bigint").alias("item_id"), text_col).where(F.col(id_col).isNotNull())
-    return rows.mapInArrow(work, "item_id bigint, words array<bigint>").where(F.size("words") > 0)
+    rows = items.select(F.col(id_col).cast("bigint").alias("item_id"), text_col)
+    held = rows.mapInArrow(work, "item_id bigint, words array<bigint>").where(F.size("words") > 0)
+    return held.groupBy(F.xxhash64("words").alias("item"), "words").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
 
 
 def weighted_postings(words: DataFrame) -> DataFrame:
-    """``item_id``, ``piece``, ``term``, ``weight``: the inverted index as a table."""
+    """``item``, ``piece``, ``term``, ``weight``: the inverted index as a table."""
     pieces = F.ceil(F.size("words") / PIECE).cast("int")
     cut = words.withColumn("_k", pieces).withColumn("_w", F.ceil(F.size("words") / F.col("_k")).cast("int"))
-    cut = cut.select("item_id", "words", "_w", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("piece"))
-    cut = cut.select("item_id", "piece", F.slice("words", F.col("piece") * F.col("_w") + 1, F.col("_w")).alias("words"))
+    cut = cut.select("item", "words", "_w", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("piece"))
+    cut = cut.select("item", "piece", F.slice("words", F.col("piece") * F.col("_w") + 1, F.col("_w")).alias("words"))
     cut = pin(cut.where(F.size("words") > 0))
-    tf = cut.select("item_id", "piece", F.size("words").alias("len"), F.explode("words").alias("term"))
-    tf = tf.groupBy("item_id", "piece", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = cut.select("item", "piece", F.size("words").alias("len"), F.explode("words").alias("term"))
+    tf = tf.groupBy("item", "piece", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n, mean = cut.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(mean or 1.0)))
-    scored = tf.join(df, "term").select("item_id", "piece", "term", (idf * part).alias("w"))
-    own = scored.groupBy("item_id", "piece").agg(F.sum("w").alias("own"))
-    return scored.join(own, ["item_id", "piece"]).select("item_id", "piece", "term", (F.col("w") / F.col("own")).alias("weight"))
+    scored = tf.join(df, "term").select("item", "piece", "term", (idf * part).alias("w"))
+    own = scored.groupBy("item", "piece").agg(F.sum("w").alias("own"))
+    return scored.join(own, ["item", "piece"]).select("item", "piece", "term", (F.col("w") / F.col("own")).alias("weight"))
 
 
 class Index:
     """A shard: terms in order of hash, and per term its postings in order of the piece, in blocks with maxima."""
 
-    def __init__(self, postings: list[tuple[int, int, int, float]], words: dict[int, list[int]]):
+    def __init__(self, postings: list[tuple[int, int, int, float]], words: dict[int, list[int]], ids: dict[int, list[int]] | None = None):
         # Pieces of similar length are neighbours: their weights are alike, so that block maxima are tight.
         sizes = Counter((i, p) for i, p, _, _ in postings)
         pieces = sorted(sizes, key=lambda k: (sizes[k], k))
@@ -110,6 +114,8 @@ class Index:
         self.shared_block = cell % max(1, self.blocks)
         self.shared_at = np.searchsorted(cell, np.arange(len(self.terms) + 1) * max(1, self.blocks))
         self.words = words
+        # The ids by which an item is reported; all texts of the same words are one item.
+        self.ids = ids or {}
         self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def parts(self, item: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,10 +243,24 @@ def shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text") ->
     words = pin(item_words(items, id_col, text_col))
     n = 1 + (words.agg(F.sum(F.size("words"))).first()[0] or 0) // SHARD_WORDS
     postings = pin(weighted_postings(words))
-    mine = lambda df, k: df.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+    mine = lambda df, k: df.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
     for k in range(n):
         rows = [tuple(r) for r in mine(postings, k).collect()]
-        yield Index(rows, {r.item_id: list(r.words) for r in mine(words, k).collect()})
+        held = mine(words, k).collect()
+        yield Index(rows, {r.item: list(r.words) for r in held}, {r.item: list(r.ids) for r in held})
+
+
+def _reported(hits: list[list[dict]], index: Index) -> list[list[dict]]:
+    """Each hit under every id of its item, or under none; of hits under one id the best."""
+    out = []
+    for mine in hits:
+        best: dict[int | None, dict] = {}
+        for hit in mine:
+            for name in index.ids.get(hit["item_id"]) or [None]:
+                if name not in best or hit["score"] > best[name]["score"]:
+                    best[name] = {**hit, "item_id": name}
+        out.append(list(best.values()))
+    return out
 
 
 def with_hits(docs: DataFrame, index: Index, columns: list[str], text_col: str = "text") -> DataFrame:
@@ -251,7 +271,7 @@ def with_hits(docs: DataFrame, index: Index, columns: list[str], text_col: str =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
         for batch in batches:
-            hits = pa.array(batch_hits(batch.column(0).to_pylist(), shipped.value), kind)
+            hits = pa.array(_reported(batch_hits(batch.column(0).to_pylist(), shipped.value), shipped.value), kind)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], hits], names=[*columns, "hits"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields]
@@ -261,8 +281,8 @@ def with_hits(docs: DataFrame, index: Index, columns: list[str], text_col: str =
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``item_id``, ``score``, ``question_overlap``, ``answer_overlap``: every item in every text.
 
-    A null text holds nothing; a row with a null or repeated id reports its own items. Items that share an id
-    are one item with the words of one of them.
+    A null text holds nothing; a row with a null or repeated id reports its own items. Each text of an item is
+    looked for by itself; items of the same words are reported under each of their ids, those without an id under null.
     """
     out = None
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

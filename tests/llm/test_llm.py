@@ -338,6 +338,17 @@ def test_substring_dedup_of_different_texts_under_one_id(spark):
     assert sorted((r.text.strip(), r.n_removed) for r in got) == sorted([(passage, 0), (own, 30), (docs[2][1], 0), (docs[3][1], 0)])
 
 
+def test_decontamination_of_items_without_or_with_shared_ids(spark):
+    rand = random.Random(7)
+    item = lambda: " ".join(f"t{rand.randrange(10**6)}" for _ in range(40))
+    a, b, c, d = (item() for _ in range(4))
+    items = spark.createDataFrame([(None, a), (1, b), (1, c), (2, d), (3, d)], ITEMS)
+    docs = spark.createDataFrame([(i, f"{item()} {x} {item()}") for i, x in enumerate((a, b, c, d, item()))], "doc_id bigint, text string")
+    assert [r.doc_id for r in decontamination.keep_uncontaminated(docs, items).collect()] == [4]
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()}
+    assert got == {(0, None), (1, 1), (2, 1), (3, 2), (3, 3)}
+
+
 def test_html_text(spark, sf_dir):
     page = (
         "<html><head><title>t</title><script>var a='<p>';</script></head><body><nav><a href=/>Home</a></nav><div class='cookie-notice'>We use cookies.</div>"
