@@ -23,10 +23,10 @@ def parsed_events(bronze: DataFrame) -> DataFrame:
 
 
 def without_repeats(events: DataFrame) -> DataFrame:
-    """One row per event id and day, the smallest if repeats differ (a repeat carries the time of its event)."""
-    rest = [c for c in events.columns if c not in ("event_id", "day")]
-    one = events.groupBy("event_id", "day").agg(F.min(F.struct(*rest)).alias("r"))
-    return one.select("event_id", "r.*", "day")
+    """One row per event id, the smallest if repeats differ, whatever their days; one without a time stands beside it."""
+    rest = [c for c in events.columns if c != "event_id"]
+    one = events.groupBy("event_id", F.col("day").isNull()).agg(F.min(F.struct(*rest)).alias("r"))
+    return one.select("event_id", "r.*")
 
 
 def silver_from(bronze: DataFrame) -> DataFrame:

@@ -67,18 +67,16 @@ def score_stream(stream: DataFrame, features: str, width: int, make_predict: Cal
 def start_silver(bronze: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
     """Append parsed events without repeats, however late they come; a repeated batch overwrites itself.
 
-    A batch is compared with the ids that earlier batches wrote for its own days, so no state grows with the
-    stream and no event is dropped for its age.
+    A batch is compared with all ids that earlier batches wrote, of which only ids and days are read: a repeat may carry
+    another day. No state is kept and no event is dropped for its age. Of repeats that differ, that of the earliest
+    batch stays, where the batch job takes the smallest.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         fresh = without_repeats(batch).persist()
-        days = [r["day"] for r in fresh.select("day").distinct().collect()]
         if batch_id > 0:
             written = batch.sparkSession.read.schema(f"{SILVER_SCHEMA}, batch bigint, day date").option("basePath", path).parquet(f"{path}/batch=*")
-            same_days = F.col("day").isin([d for d in days if d is not None])
-            earlier = written.where((F.col("batch") < batch_id) & (same_days | F.col("day").isNull()))
-            new = join_anti(fresh, earlier.select("event_id", "day"))
+            new = join_anti(fresh, written.where(F.col("batch") < batch_id))
         else:
             new = fresh
         new.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
@@ -89,9 +87,9 @@ def start_silver(bronze: DataFrame, path: str, state: str, every: str | None = N
 
 
 def join_anti(events: DataFrame, known: DataFrame) -> DataFrame:
-    """Events whose id and day are not among the known ones; a missing day equals a missing day."""
-    right = known.select(F.col("event_id").alias("_id"), F.col("day").alias("_day"))
-    return events.join(right, (F.col("event_id") == F.col("_id")) & F.col("day").eqNullSafe(F.col("_day")), "left_anti")
+    """Events whose id is not among the known ones; those without a time are compared with one another."""
+    right = known.select(F.col("event_id").alias("_id"), F.col("day").isNull().alias("_timeless"))
+    return events.join(right, (F.col("event_id") == F.col("_id")) & (F.col("day").isNull() == F.col("_timeless")), "left_anti")
 
 
 def start_table(stream: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:

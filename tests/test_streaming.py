@@ -76,3 +76,18 @@ def test_snapshots_take_turns(spark, tmp_path):
         live.start_snapshots(source.groupBy().count(), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["0", "1"]
     assert spark.read.parquet(str(tmp_path / "out" / "0")).first()[0] == 6
+
+
+def test_a_repeat_on_another_day_counts_once(spark, tmp_path):
+    def put(name, *stamps):
+        lines = [(f'{{"event_id": 7, "ts": "{ts}", "user_id": 1, "event_type": "view", "value": 1.0, "props": "k=1"}}',) for ts in stamps]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    out, state = str(tmp_path / "silver"), str(tmp_path / "state")
+    for name, stamps in (("a", ["2024-01-01T23:59:59Z", "2024-01-02T00:00:01Z"]), ("b", ["2024-01-02T00:00:02Z"])):
+        put(name, *stamps)
+        bronze = spark.readStream.schema("value string").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        live.start_silver(bronze, out, state).awaitTermination()
+    raw = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    streamed = spark.read.parquet(out).select("event_id", "ts").collect()
+    assert streamed == medallion.silver_from(raw).select("event_id", "ts").collect() and len(streamed) == 1
