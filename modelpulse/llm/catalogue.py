@@ -1,6 +1,20 @@
 """All queries of this package."""
 
-from modelpulse.llm import byte_bpe, decontamination, fixity, html_text, license_scan, line_dedup, near_dedup, quality, substring_dedup, toxicity  # noqa: F401
+from modelpulse.llm import (  # noqa: F401
+    byte_bpe,
+    decontamination,
+    fixity,
+    hard_negatives,
+    html_text,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    quality,
+    secret_scan,
+    spelling,
+    substring_dedup,
+    toxicity,
+)
 from modelpulse.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
