@@ -1,10 +1,11 @@
 """Main text of web pages by a minimum cut over their blocks.
 
-A page is cut into text blocks at block-level tags. A logistic classifier, fitted on blocks of a bounded sample of
-pages whose tags say what they are (article or main against navigation, footer and the like), gives
-the cost of calling a block content or boilerplate; what the page's own tags and class names say is added. These costs
-are the capacities to the two terminals; neighbouring blocks and successive blocks of the same parent are
-joined by smoothness edges. The minimum cut, found with Dinic's algorithm, labels all blocks together.
+A page is cut into text blocks at block-level tags. What a block costs as content or as boilerplate are the capacities
+to the two terminals. They come from a logistic classifier of the text, fitted on blocks of a bounded sample of pages
+whose tags say what they are, and from what the page's own tags and names say of the block. Neither alone outweighs
+the smoothness edges: successive blocks and successive blocks of one parent are joined, the less the further apart they
+are in the tree, and less again where the page itself marks a change. The minimum cut, found with Dinic's
+algorithm, labels all blocks together, so a doubtful block goes with those around it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -27,11 +29,16 @@ from modelpulse.session import pin
 # Pages and blocks that the classifier is fitted on, at most.
 SAMPLE_PAGES = 400
 SAMPLE_BLOCKS = 20_000
-# Weight of what tags or names say of a block, and the bound of what the classifier says.
-TAG_WEIGHT = 6.0
-CLASSIFIER_BOUND = 3.0
+# Weight in nats of what tags and plain names say of a block, of what a name only hints at, and the bound of what the
+# classifier says. A block amid others of its parent has edges of 2 * (NEIGHBOUR + SIBLING) = 2.8.
+STRONG = 2.6
+HINT = 2.0
+CONTENT_HINT = 1.0
+CLASSIFIER_BOUND = 1.5
 NEIGHBOUR = 0.8
 SIBLING = 0.6
+# What is left of an edge between blocks of which the page says opposite things.
+ACROSS = 0.25
 # Capacities are whole numbers.
 SCALE = 1000
 
@@ -43,87 +50,147 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("script style noscript template svg math iframe object head title select button textarea canvas audio video datalist".split())
 CONTENT = frozenset("article main".split())
 BOILER = frozenset("nav header footer aside form menu dialog".split())
+# Inside these an article is a teaser, not the page's own; a form may hold the whole page.
+TEASER = frozenset("nav aside footer menu dialog".split())
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|header|footer|sidebar|side|breadcrumb\w*|cookie\w*|consent|notice\w*|"
-    r"popup|modal|comment\w*|disqus|respond|reply|share|sharing|social|subscribe|newsletter|signup|login|related|recommend\w*|pagination|pager|widget|toolbar|copyright|legal|disclaimer|skip)"
-    r"(?=$|[\s_\d-])",
-    re.I,
+    r"ad|ads|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|header|footer|sidebar|side|breadcrumb\w*|cookie\w*|consent|notice\w*|"
+    r"popup|modal|comment\w*|disqus|respond|reply|share|sharing|social|subscribe|newsletter|signup|login|related|recommend\w*|pagination|pager|widget|"
+    r"toolbar|copyright|legal|disclaimer|skip|contentinfo|complementary|search"
 )
-CONTENT_NAMED = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|text|main)(?=$|[\s_\d-])", re.I)
+COMMENTS = re.compile(r"comment\w*|disqus|respond|reply")
+CONTENT_NAMED = re.compile(r"article|content|entry|post|story|text|main")
+# A name with one of these speaks of a state or of the layout, not of what is inside.
+STATES = frozenset(
+    "no not non without with has is js can enabled disabled open opened closed on off active inactive ready loaded collapsed expanded visible supports".split()
+)
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+SPLIT = re.compile(r"[-_\d]+")
+IN_HEAD = frozenset("head title meta link script style base noscript template".split())
 # A tag that opens one of these ends an open one of the same set.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol dl table body article section div main".split())
 WHITE = re.compile(r"\s+")
 
 
+@lru_cache(maxsize=4096)
+def name_evidence(name: str) -> tuple[float, bool]:
+    """What one class, id or role says in nats, and whether it speaks of comments.
+
+    A name that begins or ends with a known word is plain (main-nav, cookieNotice), one that has it in between is a hint.
+    """
+    parts = [p for p in SPLIT.split(CAMEL.sub("-", name).lower()) if p]
+    if not parts or not STATES.isdisjoint(parts):
+        return 0.0, False
+    known = [bool(NAMED.fullmatch(p)) for p in parts]
+    if known[0] or known[-1]:
+        return -STRONG, any(COMMENTS.fullmatch(p) for p in parts)
+    if any(known):
+        return -HINT, False
+    return (CONTENT_HINT if any(CONTENT_NAMED.fullmatch(p) for p in parts) else 0.0), False
+
+
 @dataclass
 class Block:
     text: str
     tag: str
-    parent: int
+    path: tuple[int, ...]  # numbers of the block-level elements around its own, the outermost first
     linked: int  # characters inside links
-    said: int  # 1 content, -1 boilerplate, 0 nothing
+    said: float  # nats for content that tags and names give; negative ones for boilerplate
+
+
+@dataclass(frozen=True)
+class Open:
+    """An open element: its tag and number, what is said of its inside, how deep it is hidden, and whether an article there is none of the page's own."""
+
+    tag: str
+    number: int
+    said: float
+    hidden: int
+    teaser: bool
+
+
+_OUTSIDE = Open("", 0, 0.0, 0, False)
 
 
 class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, int, int]] = []  # tag, number, what is said of its inside, hidden depth
+        self.open: list[Open] = []
         self.number = 0
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
 
-    def _state(self) -> tuple[int, int]:
-        return (self.open[-1][2], self.open[-1][3]) if self.open else (0, 0)
+    def _state(self) -> Open:
+        return self.open[-1] if self.open else _OUTSIDE
 
     def flush(self) -> None:
         if self.parts:
             text = WHITE.sub(" ", "".join(self.parts)).strip()
             if text:
-                holder = next((x for x in reversed(self.open) if x[0] in BLOCK_TAGS), ("body", 0, 0, 0))
-                depth = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i] is holder), 0)
-                parent = next((x[1] for x in reversed(self.open[:depth]) if x[0] in BLOCK_TAGS), 0)
-                self.blocks.append(Block(text, holder[0], parent, min(self.linked, len(text)), self._state()[0]))
+                around = [x for x in self.open if x.tag in BLOCK_TAGS]
+                tag = around[-1].tag if around else "body"
+                self.blocks.append(Block(text, tag, tuple(x.number for x in around[:-1]), min(self.linked, len(text)), self._state().said))
             self.parts, self.linked = [], 0
 
+    def _said(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[float, bool]:
+        """What is said of the inside of a new element, and whether articles there are others' or none."""
+        around = self._state()
+        said, teaser = around.said, around.teaser or tag in TEASER
+        names = [n for k, v in attrs if k in ("class", "id", "role") and v for n in v.split()] if tag not in ("html", "body") else []
+        found = [name_evidence(n) for n in names]
+        worst = min((x for x, _ in found), default=0.0)
+        comments = any(c for _, c in found)
+        if tag in CONTENT:
+            # The page's own article, whatever its wrappers and its own state are called.
+            if not teaser and not comments:
+                return STRONG, False
+            return -STRONG, teaser or comments
+        if tag in BOILER and not (tag == "header" and said > 0):
+            said = -STRONG
+        elif worst <= -STRONG:
+            said = -STRONG
+        elif worst < 0:
+            said = max(said + worst, -STRONG)
+        elif said >= 0:
+            said = min(said + max((x for x, _ in found), default=0.0), STRONG)
+        return said, teaser or comments
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        # The end tag of the head may be left out.
+        if tag not in IN_HEAD and any(x.tag == "head" for x in self.open) and not any(x.tag in HIDDEN and x.tag != "head" for x in self.open):
+            self._close("head")
         if tag in BLOCK_TAGS:
             self.flush()
-            if any(x[0] == "p" for x in self.open):
+            if any(x.tag == "p" for x in self.open):
                 self._close("p")
             for old in ENDS.get(tag, ()):
                 for k in range(len(self.open) - 1, -1, -1):
-                    if self.open[k][0] == old:
+                    if self.open[k].tag == old:
                         del self.open[k:]
                         break
-                    if self.open[k][0] in HOLDS:
+                    if self.open[k].tag in HOLDS:
                         break
         elif tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        said, hidden = self._state()
+        hidden = self._state().hidden
         if tag in HIDDEN:
             hidden += 1
-        names = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")) if attrs else ""
         if any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs):
             hidden += 1
-        inside = said == 1
-        if tag in BOILER and not (tag == "header" and inside) or names and NAMED.search(names):
-            said = -1
-        elif said == 0 and (tag in CONTENT or names and CONTENT_NAMED.search(names)):
-            said = 1
+        said, teaser = self._said(tag, attrs)
         self.number += 1
-        self.open.append((tag, self.number, said, hidden))
+        self.open.append(Open(tag, self.number, said, hidden, teaser))
         if tag == "a":
             self.links += 1
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                self.links -= sum(1 for x in self.open[k:] if x[0] == "a")
+            if self.open[k].tag == tag:
+                self.links -= sum(1 for x in self.open[k:] if x.tag == "a")
                 del self.open[k:]
                 return
 
@@ -133,7 +200,7 @@ class _Blocks(HTMLParser):
         self._close(tag)
 
     def handle_data(self, data: str) -> None:
-        if self._state()[1]:
+        if self._state().hidden:
             return
         self.parts.append(data)
         if self.links:
@@ -245,22 +312,39 @@ def minimum_cut(source: list[int], sink: list[int], edges: list[tuple[int, int,
                 break
 
 
+def own_odds(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
+    """Nats for content that each block has by itself."""
+    if not blocks:
+        return np.zeros(0)
+    return np.clip(features(blocks) @ weights, -CLASSIFIER_BOUND, CLASSIFIER_BOUND) + np.array([b.said for b in blocks])
+
+
+def smoothness(blocks: list[Block]) -> list[tuple[int, int, int]]:
+    """Edges between successive blocks, by their distance in the tree, and between successive blocks of one parent."""
+
+    def weight(a: Block, b: Block, full: float) -> int:
+        return int(full * SCALE * (ACROSS if a.said * b.said < 0 else 1))
+
+    edges, last = [], {}
+    for i, b in enumerate(blocks):
+        if i:
+            a = blocks[i - 1]
+            common = next((k for k, (x, y) in enumerate(zip(a.path, b.path)) if x != y), min(len(a.path), len(b.path)))
+            edges.append((i - 1, i, weight(a, b, NEIGHBOUR / (1 + len(a.path) + len(b.path) - 2 * common))))
+        before = last.get(b.path)
+        if before is not None:
+            edges.append((before, i, weight(blocks[before], b, SIBLING)))
+        last[b.path] = i
+    return edges
+
+
 def label(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     """True for content."""
-    odds = np.clip(features(blocks) @ weights, -CLASSIFIER_BOUND, CLASSIFIER_BOUND) if blocks else np.zeros(0)
-    odds = odds + TAG_WEIGHT * np.array([b.said for b in blocks])
+    odds = own_odds(blocks, weights)
     # The cost of calling a block boilerplate is the surprise of that, and the same for content.
     source = (np.logaddexp(0, odds) * SCALE).astype(np.int64).tolist()
     sink = (np.logaddexp(0, -odds) * SCALE).astype(np.int64).tolist()
-    edges, last = [], {}
-    for i, b in enumerate(blocks):
-        if i and blocks[i - 1].said * b.said >= 0:
-            edges.append((i - 1, i, int(NEIGHBOUR * SCALE)))
-        before = last.get((b.parent, b.said))
-        if before is not None:
-            edges.append((before, i, int(SIBLING * SCALE)))
-        last[b.parent, b.said] = i
-    return minimum_cut(source, sink, edges)
+    return minimum_cut(source, sink, smoothness(blocks))
 
 
 def main_text(html: str | None, weights: np.ndarray) -> str:
@@ -274,7 +358,7 @@ def fit_classifier(pages: DataFrame, html_col: str = "html", pages_max: int = SA
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for html in batch.column(0).to_pylist():
-                blocks = [b for b in blocks_of(html) if b.said]
+                blocks = [b for b in blocks_of(html) if abs(b.said) >= STRONG]
                 if blocks:
                     rows = pa.array(features(blocks).tolist(), pa.list_(pa.float64()))
                     yield pa.RecordBatch.from_arrays([rows, pa.array([float(b.said > 0) for b in blocks])], names=["x", "y"])
