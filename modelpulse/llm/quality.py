@@ -19,19 +19,19 @@ found in a histogram of all scores), widened for short texts by the error of a m
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from modelpulse.llm.registry import query
 from modelpulse.llm.text import Batch, RangeHash, bounded_batches, documents, is_separator, is_space, mix64, read, signed, windows
 from modelpulse.operators.ordered import join_totals
-from modelpulse.session import pin
+from modelpulse.session import pin, scratch_path
 
 ORDER = 4
 MIN_WORDS = 20
@@ -45,10 +45,11 @@ ERRORS = 3.0
 DEVIATION = 2.5
 MIN_SPREAD = 0.02
 BINS_PER_NAT = 200
+FINE_BINS = 20_000
 MICRO = 1_000_000
-# Entries of all models together (20 bytes each) up to which they are sent to the tasks as arrays;
+# Entries of all models together (at most 24 bytes each) up to which they are sent to the tasks as arrays;
 # more than that are joined instead.
-MAX_SHIPPED = 6_000_000
+MAX_SHIPPED = 4_000_000
 # N-grams that a counting task holds before it passes them on.
 HELD = 1_500_000
 
@@ -140,58 +141,68 @@ def count_ngrams(docs: DataFrame, text_col: str = "text", lang_col: str | None =
     return parts.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
+def _all_orders(counts: DataFrame) -> DataFrame:
+    """``lang``, ``n``, ``gram``, ``c`` of all orders: counts of the highest, different left neighbours of the others."""
+    table = counts.select("lang", F.lit(ORDER).alias("n"), "gram", "c")
+    out = table
+    for n in range(ORDER - 1, 0, -1):
+        mask = F.lit((1 << 16 * n) - 1)
+        table = table.groupBy("lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count(F.lit(1)).alias("c"))
+        table = table.select("lang", F.lit(n).alias("n"), "gram", "c")
+        out = out.unionByName(table)
+    return out
+
+
+def _discounts(grams: DataFrame) -> DataFrame:
+    """``lang``, ``n``, ``d1`` to ``d3`` and ``size``, the number of n-grams, from the counts of counts. One row per language and order."""
+    counted = grams.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("size"), *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)])
+    y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
+
+    def discount(i: int):
+        value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0))
+        usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{i}") > 0)
+        return F.when(usable & (value > 0) & (value < i), value).otherwise(0.5).alias(f"d{i}")
+
+    return counted.select("lang", "n", "size", *[discount(i) for i in (1, 2, 3)])
+
+
 def kneser_ney(counts: DataFrame) -> DataFrame:
     """``lang``, ``n``, ``gram``, ``cost`` (micronats), ``back`` (micronats of the backoff weight of the
     n-gram as a context, null where it is none) for every n-gram of the orders 1 to 4 that occurs.
 
     The highest order uses counts, a lower one the number of different left neighbours. Discounts come
-    from the counts of counts; where these don't determine one, 0.5 stands for it.
+    from the counts of counts; where these don't determine one, 0.5 stands for it. All orders are one table, so that
+    counts of counts, contexts and discounted shares are one grouping each; only the probabilities are
+    joined order after order, each with that of its suffix in the order below.
     """
-    table = pin(counts)
-    orders = {ORDER: table}
-    for n in range(ORDER - 1, 0, -1):
-        mask = F.lit((1 << 16 * n) - 1)
-        orders[n] = pin(orders[n + 1].groupBy("lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count(F.lit(1)).alias("c")))
-    vocabulary = orders[1].groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    lower = vocabulary.select("lang", F.lit(0).cast("bigint").alias("suffix"), (1 / F.col("v")).alias("p_low"))
-    out = None
-    for n in range(1, ORDER + 1):
-        t = orders[n]
-        few = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
-        d = t.groupBy("lang").agg(*few)
-        y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0))
-
-        def discount(i: int):
-            value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.nullif(F.col(f"n{i}"), F.lit(0))
-            usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{i}") > 0)
-            return F.when(usable & (value > 0) & (value < i), value).otherwise(0.5).alias(f"d{i}")
-
-        d = d.select("lang", *[discount(i) for i in (1, 2, 3)])
-        t = t.withColumn("context", F.shiftrightunsigned("gram", 16))
-        stats = t.groupBy("lang", "context").agg(
+    grams = pin(_all_orders(counts))
+    known = join_totals(grams, _discounts(grams), ["lang", "n"])
+    context, c = F.shiftrightunsigned("gram", 16).alias("context"), F.col("c")
+    # The discounts are those of the group, hence the same in all its rows.
+    contexts = pin(
+        known.groupBy("lang", "n", context).agg(
             F.sum("c").alias("total"),
-            *[F.sum(F.when(c, 1).otherwise(0)).alias(f"m{i}") for i, c in ((1, F.col("c") == 1), (2, F.col("c") == 2), (3, F.col("c") > 2))],
-        )
-        stats = stats.join(d, "lang").withColumn(
-            "gamma", (F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total")
+            (F.sum(F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3"))) / F.sum("c")).alias("gamma"),
         )
+    )
+    off = F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3"))
+    cells = known.select("lang", "n", "gram", context, "c", off.alias("off"), "size").join(contexts, ["lang", "n", "context"])
+    cells = pin(cells.select("lang", "n", "gram", ((F.col("c") - F.col("off")) / F.col("total")).alias("share"), "gamma", "size"))
+    of = lambda n: cells.where(F.col("n") == n)
+    p = of(1).select("lang", "n", "gram", (F.col("share") + F.col("gamma") / F.col("size")).alias("p"))
+    every = p
+    for n in range(2, ORDER + 1):
+        below = p.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("p_low"))
         suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * (n - 1)) - 1))
-        off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        p = pin(
-            t.withColumn("suffix", suffix)
-            .join(stats, ["lang", "context"])
-            .join(lower, ["lang", "suffix"])
-            .select("lang", "gram", "context", "gamma", ((F.col("c") - off) / F.col("total") + F.col("gamma") * F.col("p_low")).alias("p"))
-        )
-        lower = p.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("p_low"))
-        micro = lambda x: F.round(-F.log(x) * MICRO).cast("bigint")
-        here = p.select("lang", F.lit(n).alias("n"), "gram", micro(F.col("p")).alias("cost"))
-        backs = p.groupBy("lang", F.col("context").alias("gram")).agg(micro(F.max("gamma")).alias("back"))
-        # A context of this order is an n-gram of the order below; that of order 1 is empty.
-        backs = backs.select("lang", F.lit(n - 1).alias("n"), "gram", "back")
-        out = (here, backs) if out is None else (out[0].unionByName(here), out[1].unionByName(backs))
-    grams, backs = out
-    return grams.join(backs, ["lang", "n", "gram"], "full").select("lang", "n", "gram", "cost", "back")
+        met = of(n).withColumn("suffix", suffix).join(below, ["lang", "suffix"])
+        p = met.select("lang", "n", "gram", (F.col("share") + F.col("gamma") * F.col("p_low")).alias("p"))
+        every = every.unionByName(p)
+    micro = lambda x: F.round(-F.log(x) * MICRO).cast("bigint")
+    # A context of an order is an n-gram of the order below; that of order 1 is empty. One grouping instead of a full join.
+    none = F.lit(None).cast("bigint")
+    costs = every.select("lang", "n", "gram", micro(F.col("p")).alias("cost"), none.alias("back"))
+    backs = contexts.select("lang", (F.col("n") - 1).alias("n"), F.col("context").alias("gram"), none.alias("cost"), micro(F.col("gamma")).alias("back"))
+    return costs.unionByName(backs).groupBy("lang", "n", "gram").agg(F.max("cost").alias("cost"), F.max("back").alias("back"))
 
 
 @dataclass
@@ -204,15 +215,16 @@ class Arrays:
     unknown: int = 20 * MICRO
 
     @classmethod
-    def of(cls, n: np.ndarray, gram: np.ndarray, cost: np.ndarray, back: np.ndarray) -> Arrays:
-        """From rows in which a cost of -1 says that there is none."""
+    def of(cls, orders: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Arrays:
+        """From n-grams, costs and backoff costs per order, in which -1 says that there is none."""
         self = cls()
-        for table, values in ((self.grams, cost), (self.contexts, back)):
-            for k in range(1, ORDER + 1):
-                at = np.flatnonzero((n == k) & (values >= 0))
-                h = mix64(gram[at].view(np.uint64))
-                order = np.argsort(h)
-                table[k] = h[order], values[at][order]
+        none = np.zeros(0, dtype=np.int64), *[np.zeros(0, dtype=np.int32)] * 2
+        for k in range(1, ORDER + 1):
+            gram, cost, back = orders.get(k, none)
+            h = mix64(gram.view(np.uint64))
+            order = np.argsort(h)
+            h, cost, back = h[order], cost[order], back[order]
+            self.grams[k], self.contexts[k] = (h[cost >= 0], cost[cost >= 0]), (h[back >= 0], back[back >= 0])
         return self
 
     @staticmethod
@@ -244,13 +256,41 @@ class Arrays:
 
 
 def collect_models(model: DataFrame) -> dict[str, Arrays]:
-    """The models as sorted arrays. Only called for models of a counted size."""
+    """The models as sorted arrays. Only called for models of a counted size.
+
+    Tasks pack what they have of an order of a language into arrays of 16 bytes an entry, so the driver sees some
+    arrays and never a row.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = batch.column(0).dictionary_encode()
+            which, n = lang.indices.to_numpy(), batch.column(1).to_numpy()
+            gram, cost, back = (batch.column(i).to_numpy() for i in (2, 3, 4))
+            order = np.lexsort((n, which))
+            edges = np.flatnonzero(np.concatenate(([True], (np.diff(which[order]) != 0) | (np.diff(n[order]) != 0), [True]))) if len(order) else [0]
+            for a, b in zip(edges, edges[1:]):
+                at = order[a:b]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang.dictionary[int(which[at[0]])].as_py()]),
+                        pa.array([int(n[at[0]])], pa.int32()),
+                        *[pa.array([x[at].astype(t).tobytes()], pa.binary()) for x, t in ((gram, np.int64), (cost, np.int32), (back, np.int32))],
+                    ],
+                    names=["lang", "n", "gram", "cost", "back"],
+                )
+
     none = F.lit(-1).cast("bigint")
     table = model.where(F.col("n") > 0).select("lang", "n", "gram", F.coalesce("cost", none).alias("cost"), F.coalesce("back", none).alias("back"))
-    rows = table.toArrow()
-    lang = np.array(rows["lang"].to_pylist(), dtype=object)
-    n, gram, cost, back = (rows[c].to_numpy() for c in ("n", "gram", "cost", "back"))
-    return {g: Arrays.of(*(x[lang == g] for x in (n, gram, cost, back))) for g in set(lang)}
+    # A batch of the wide session setting, since the rows are small.
+    table.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200000")
+    packed = table.mapInArrow(pack, "lang string, n int, gram binary, cost binary, back binary").toArrow()
+    bounded_batches(table.sparkSession)
+    parts: dict[str, dict[int, list[tuple[bytes, bytes, bytes]]]] = {}
+    for i in range(packed.num_rows):
+        lang, n, *arrays = (packed.column(k)[i] for k in range(5))
+        parts.setdefault(lang.as_py(), {}).setdefault(n.as_py(), []).append([a.as_buffer() for a in arrays])
+    return {lang: Arrays.of({n: [np.concatenate([np.frombuffer(p[k], t) for p in some]) for k, t in enumerate((np.int64, np.int32, np.int32))] for n, some in orders.items()}) for lang, orders in parts.items()}
 
 
 def base_statistics(batch: Batch) -> dict[str, np.ndarray]:
@@ -315,27 +355,30 @@ def score(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang"
     from ``docs`` themselves, held out. A null text is empty: no words, no n-grams. Columns of the input with the
     new names are replaced.
     """
+    others = [c for c in docs.columns if c not in SCORED and c != text_col]
+    return _scored(docs, text_col, lang_col, others, model, held_out)[0].select(*[F.col("_others").getField(c).alias(c) for c in others], *SCORED)
+
+
+def _scored(docs: DataFrame, text_col: str, lang_col: str | None, others: Sequence[str], model: DataFrame | None = None, held_out: bool = False) -> tuple[DataFrame, Callable]:
+    """``_others`` (the columns ``others`` as one, so that none of their names can clash), the scores, and what frees the model
+    that was sent to the tasks once they have been read."""
     bounded_batches(docs.sparkSession)
     held_out = held_out or model is None
     model = pin(held_out_model(docs, text_col, lang_col) if model is None else model)
-    others = [c for c in docs.columns if c not in SCORED and c != text_col]
-    # The other columns travel as one, so that none of their names can clash with those used here.
-    packed = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_none"))
+    packed = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(None).cast("int").alias("_none"))
     key = model_key(docs, text_col, lang_col, False) if held_out else language(docs, lang_col)
     rows = docs.select(F.col(text_col).alias("_text"), key.alias("_lang"), packed.alias("_others"))
     if model.count() > MAX_SHIPPED:
-        scored = _score_by_join(rows, model)
-    else:
-        scored = _score_by_arrays(rows, model)
-    return scored.select(*[F.col("_others").getField(c).alias(c) for c in others], *SCORED)
+        return _score_by_join(rows, model), lambda: None
+    shipped = rows.sparkSession.sparkContext.broadcast(collect_models(model))
+    return _score_by_arrays(rows, shipped), shipped.destroy
 
 
-def _score_by_arrays(rows: DataFrame, model: DataFrame) -> DataFrame:
+def _score_by_arrays(rows: DataFrame, shipped) -> DataFrame:
     """``_others`` and the scores, by the models of all languages in every task."""
-    shipped = rows.sparkSession.sparkContext.broadcast(collect_models(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, empty = shipped.value, Arrays.of(*[np.zeros(0, dtype=np.int64)] * 4)
+        models, empty = shipped.value, Arrays.of({})
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             result = base_statistics(read(texts))
@@ -353,8 +396,7 @@ def _score_by_arrays(rows: DataFrame, model: DataFrame) -> DataFrame:
             result |= {"n_grams": lengths.astype(np.int64), "micronats": micro}
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], *[pa.array(result[c]) for c in SCORED]], names=["_others", *SCORED])
 
-    kind = rows.schema["_others"].dataType.simpleString()
-    return rows.mapInArrow(work, ", ".join([f"_others {kind}", *[f"{c} bigint" for c in SCORED]]))
+    return rows.mapInArrow(work, T.StructType([rows.schema["_others"], *[T.StructField(c, T.LongType()) for c in SCORED]]))
 
 
 def gram_costs(grams: DataFrame, model: DataFrame) -> DataFrame:
@@ -393,8 +435,10 @@ def _score_by_join(rows: DataFrame, model: DataFrame) -> DataFrame:
                 names=["_lang", "_others", *BASE, "n_grams", "_grams", "_counts"],
             )
 
-    kind = rows.schema["_others"].dataType.simpleString()
-    schema = ", ".join(["_lang string", f"_others {kind}", *[f"{c} bigint" for c in [*BASE, "n_grams"]], "_grams array<bigint>", "_counts array<bigint>"])
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType(
+        [T.StructField("_lang", T.StringType()), rows.schema["_others"], *[T.StructField(c, T.LongType()) for c in [*BASE, "n_grams"]], T.StructField("_grams", longs), T.StructField("_counts", longs)]
+    )
     counted = pin(rows.mapInArrow(work, schema).withColumn("_row", F.monotonically_increasing_id()))
     long = counted.select("_row", "_lang", F.explode(F.arrays_zip("_grams", "_counts")).alias("z"))
     costs = gram_costs(long.select("_lang", F.col("z._grams").alias("g")).distinct(), model)
@@ -417,35 +461,42 @@ def base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
-def perplexity_bands(scored: DataFrame, lang_col: str | None = "lang", spreads: float = SPREADS) -> DataFrame:
-    """``_band_lang``, ``low``, ``high``, the bands of log perplexity per word of each language.
+def perplexity_bands(scored: DataFrame, spreads: float = SPREADS) -> DataFrame:
+    """``_band_lang``, ``_low``, ``_high``, the bands of log perplexity per word of each language; ``scored`` has ``_band_lang``.
 
     Median and median absolute deviation are read from a histogram of the scores of all texts that pass
-    the base rules, so that no language is gathered in one task.
+    the base rules, so that no language is gathered in one task. Beyond ``FINE_BINS`` a bin widens with its
+    value, which bounds their number by a rule.
     """
-    lang = language(scored, lang_col)
+    place = per_word() * (BINS_PER_NAT / MICRO)
+    wide = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(place / FINE_BINS)) + 1, F.lit(0))).cast("bigint")
+    # Some thousand bins per language, a few hundred thousand at most, in one row.
     bins = (
         scored.where(~base_failed() & (F.col("n_grams") > 0))
-        .groupBy(lang.alias("_band_lang"), F.floor(per_word() * (BINS_PER_NAT / MICRO)).alias("b"))
+        .groupBy("_band_lang", (F.floor(place / wide) * wide).alias("b"))
         .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("_band_lang")
+        .agg(F.collect_list(F.struct("b", "c")).alias("bins"), F.sum("c").alias("_all"))
     )
 
-    def median(table: DataFrame, value: str) -> DataFrame:
-        # Some thousand bins per language.
-        upto = Window.partitionBy("_band_lang").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        marked = table.select("*", F.sum("c").over(upto).alias("_cum"), F.sum("c").over(Window.partitionBy("_band_lang")).alias("_all"))
-        return marked.where(2 * F.col("_cum") >= F.col("_all")).groupBy("_band_lang").agg(F.min(value).alias("m"))
+    def median(pairs):
+        """The first value up to which half of all rows lie; ``pairs`` of value and count."""
+        start = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("bigint").alias("m"))
+        step = lambda acc, x: F.struct(
+            (acc["cum"] + x["c"]).alias("cum"), F.coalesce(acc["m"], F.when(2 * (acc["cum"] + x["c"]) >= F.col("_all"), x["b"])).alias("m")
+        )
+        return F.aggregate(F.array_sort(pairs), start, step, lambda acc: acc["m"])
 
-    middle = median(bins, "b").withColumnRenamed("m", "middle")
-    off = bins.join(middle, "_band_lang").withColumn("off", F.abs(F.col("b") - F.col("middle")))
-    spread = median(off.groupBy("_band_lang", "off").agg(F.sum("c").alias("c")), "off").withColumnRenamed("m", "mad")
+    middle = bins.select("*", median(F.col("bins")).alias("middle"))
+    off = F.transform("bins", lambda x: F.struct(F.abs(x["b"] - F.col("middle")).alias("b"), x["c"].alias("c")))
+    spread = middle.select("_band_lang", "middle", median(off).alias("mad"))
     width = spreads * F.greatest(1.4826 * (F.col("mad") + 0.5) / BINS_PER_NAT, F.lit(MIN_SPREAD))
     center = (F.col("middle") + 0.5) / BINS_PER_NAT
-    return middle.join(spread, "_band_lang").select("_band_lang", (center - width).alias("low"), (center + width).alias("high"))
+    return spread.select("_band_lang", (center - width).alias("_low"), (center + width).alias("_high"))
 
 
-def judge(scored: DataFrame, bands: DataFrame, lang_col: str | None = "lang") -> DataFrame:
-    """Adds ``log_perplexity``, ``base_failed`` and ``kept``.
+def _judged(scored: DataFrame, bands: DataFrame) -> DataFrame:
+    """Adds ``log_perplexity``, ``base_failed`` and ``kept`` to scored rows with their ``_band_lang``.
 
     Kept are texts that pass the base rules and lie within the bands of their language; a text without
     n-grams fails the base rules by its few words.
@@ -453,30 +504,49 @@ def judge(scored: DataFrame, bands: DataFrame, lang_col: str | None = "lang") ->
     mean = per_word() / MICRO
     error = ERRORS * DEVIATION / F.sqrt(F.greatest("n_lettered", F.lit(1)))
     # One row per language: sent to the texts if counted few, so that a language is not gathered in one task.
-    joined = join_totals(scored.withColumn("_band_lang", language(scored, lang_col)), bands, ["_band_lang"], "left")
+    joined = join_totals(scored, bands, ["_band_lang"], "left")
     joined = joined.withColumn("base_failed", base_failed()).withColumn("log_perplexity", F.when(F.col("n_grams") > 0, mean))
-    inside = (F.col("log_perplexity") >= F.col("low") - error) & (F.col("log_perplexity") <= F.col("high") + error)
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_band_lang", "low", "high")
+    inside = (F.col("log_perplexity") >= F.col("_low") - error) & (F.col("log_perplexity") <= F.col("_high") + error)
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
+
+
+VERDICT = [*SCORED, "log_perplexity", "base_failed", "kept"]
 
 
 def quality_verdicts(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """One row per row of ``docs``, without the text: statistics, log perplexity, verdict."""
-    scored = pin(score(docs, text_col, lang_col))
-    return judge(scored, perplexity_bands(scored, lang_col), lang_col)
+    """One row per row of ``docs``, without the text: statistics, log perplexity, verdict.
+
+    A null text is empty, and fails the base rules by its few words, as an empty one does; rows without a language share
+    a model and a band. Every row counts, so repeated ones weigh as often as they occur. An empty table has no
+    rows. Columns of the input with the new names are replaced.
+    """
+    others = [c for c in docs.columns if c not in VERDICT and c != text_col]
+    scored, free = _scored(docs, text_col, lang_col, [*others, *([lang_col] if lang_col and lang_col not in others else [])])
+    scored = pin(_with_band(scored, lang_col))
+    free()
+    return _judged(scored, perplexity_bands(scored)).select(*[F.col("_others").getField(c).alias(c) for c in others], *VERDICT)
+
+
+def _with_band(scored: DataFrame, lang_col: str | None) -> DataFrame:
+    return scored.withColumn("_band_lang", F.coalesce(F.col("_others").getField(lang_col).cast("string"), F.lit("")) if lang_col else F.lit(""))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns.
+    """The rows of ``docs`` that the rules keep, with their own columns and values; see :func:`quality_verdicts`.
 
-    The texts are scored twice, for the bands and for the verdict, rather than stored or shuffled.
+    Texts are scored once: rows and scores are written to the shared folder, since the bands are known only when all
+    have been scored.
     """
-    model = pin(held_out_model(docs, text_col, lang_col))
-    scored = score(docs.select(*[c for c in (text_col, lang_col) if c]), text_col, lang_col, model, held_out=True)
-    bands = pin(perplexity_bands(scored, lang_col))
+    spark = docs.sparkSession
     # The row travels as one column, so that none of its names can clash.
-    packed = docs.select(F.struct("*").alias("_doc"), *[c for c in (text_col, lang_col) if c])
-    clean = judge(score(packed, text_col, lang_col, model, held_out=True), bands, lang_col).where("kept")
-    return clean.select("_doc.*")
+    packed = docs.select(F.struct("*").alias("_doc"), *[F.col(f"`{c}`") for c in dict.fromkeys(c for c in (text_col, lang_col) if c)])
+    scored, free = _scored(packed, text_col, lang_col, ["_doc", *([lang_col] if lang_col and lang_col != text_col else [])])
+    path = scratch_path(spark, "scored")
+    _with_band(scored, lang_col).write.parquet(path)
+    free()
+    scored = spark.read.parquet(path)
+    clean = _judged(scored, perplexity_bands(scored)).where("kept")
+    return clean.select(F.col("_others").getField("_doc").alias("_doc")).select("_doc.*")
 
 
 @query()
