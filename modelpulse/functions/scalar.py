@@ -27,12 +27,25 @@ PLOT_RULES = [
 WORD = r"\S+"
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn(value)`` with the value worked out once.
+
+    A column that is used inside a lambda is evaluated anew for every element; as the element of an array of one it is not.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def softmax(logits: Column) -> Column:
-    """Probabilities from logits, shifted by the maximum so that exp cannot overflow."""
-    top = F.array_max(logits)
-    shifted = F.transform(logits, lambda x: F.exp(x.cast("double") - top.cast("double")))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(shifted, lambda x: x / total)
+    """Probabilities from logits, shifted by the maximum so that exp cannot overflow; work in proportion to the classes."""
+
+    def scaled(shifted: Column) -> Column:
+        total = F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x)
+        return bound(total, lambda t: F.transform(shifted, lambda x: x / t))
+
+    def below_top(z: Column) -> Column:
+        return bound(F.array_max(z).cast("double"), lambda top: F.transform(z, lambda x: F.exp(x.cast("double") - top)))
+
+    return bound(bound(logits, below_top), scaled)
 
 
 def standardise(values: Column, mean: Sequence[float] = CHANNEL_MEAN, std: Sequence[float] = CHANNEL_STD) -> Column:

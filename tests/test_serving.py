@@ -1,8 +1,10 @@
 """Counters, histograms, batches, scores and load profile on small cases."""
 
 import random
+import time
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -86,6 +88,27 @@ def test_softmax_sums_to_one(spark, vectors):
         assert abs(sum(row["p"]) - 1) < 1e-9
 
 
+def test_softmax_is_linear_in_the_classes(spark):
+    """A thousand classes: the maximum and the total are worked out once per row, not per class."""
+    z = F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda c: F.sin((F.col("id") * 37 + c * 11).cast("double")) * 8)
+    df = spark.range(2000, numPartitions=8).select("id", z.alias("z"))
+    df.where("id < 8").select(S.softmax(F.col("z"))).collect()
+    began = time.perf_counter()
+    rows = P.ranked_predictions(df, "id", "z").orderBy("id", "rank").collect()
+    assert time.perf_counter() - began < 3
+    for i in (0, 777, 1999):
+        logits = np.sin(i * 37 + np.arange(1, 1001) * 11) * 8
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        best = np.lexsort((np.arange(1000), -p))[:5]
+        assert [(r.class_id, r.confidence) for r in rows[5 * i : 5 * i + 5]] == [(int(c), pytest.approx(p[c], abs=6e-5)) for c in best]
+
+
+def test_softmax_of_nothing(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, [5.0])], "id int, z array<double>")
+    assert [r.p for r in df.select("id", S.softmax(F.col("z")).alias("p")).orderBy("id").collect()] == [None, [], [1.0]]
+
+
 def test_ranked_forms_agree_and_break_ties_by_class(spark):
     df = spark.createDataFrame([(1, [2.0, 3.0, 3.0, 1.0])], "id bigint, z array<double>")
     short = P.ranked_predictions(df, "id", "z", 3).collect()
