@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modelpulse.operators import quantised as Q
 from modelpulse.operators import retrieval as RT
 from modelpulse.plans.registry import query
-from modelpulse.session import pin
+from modelpulse.session import pin, scratch_path
 from modelpulse.sources.tables import load, load_texts
 
 
@@ -40,17 +41,12 @@ vec_ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score
          round(list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) AS score
   FROM embeddings q JOIN benchmark ON item_id = q.vec_id, embeddings d))
 """
+# Candidates that are ranked again by their vectors.
 DEPTH = 100
-FUSED = f"""
+FUSED = """
 fused AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank)), 9) AS score FROM (
-  SELECT item_id, doc_id, rank FROM lex_ranked WHERE rank <= {DEPTH}
-  UNION ALL SELECT item_id, doc_id, rank FROM vec_ranked WHERE rank <= {DEPTH}) GROUP BY item_id, doc_id),
-fused_ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused)
-"""
-FULLY_FUSED = """
-fully_fused AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank)), 9) AS score FROM (
   SELECT item_id, doc_id, rank FROM lex_ranked UNION ALL SELECT item_id, doc_id, rank FROM vec_ranked) GROUP BY item_id, doc_id),
-fully_ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fully_fused)
+fused_ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM fused)
 """
 RERANKED = f"""
 reranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM (
@@ -130,18 +126,52 @@ def approximate_search_recall(spark, sf_dir):
     return measured.select("wanted", (F.col("recall") >= 0.9).alias("reached"))
 
 
-@query(f"WITH {BM25}, {VECTOR}, {FUSED} SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM fused_ranked WHERE rank <= 10")
+def _quantised(spark, sf_dir):
+    """The same ten neighbours by codes of eight bytes, stored once, and the vectors of the best alone."""
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = vectors.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_asked"))
+    books = Q.fit_codebooks(vectors, "vec_id", "embedding")
+    path = scratch_path(spark, "vector-codes")
+    Q.coded(vectors, "vec_id", "embedding", books).write.parquet(path)
+    return Q.quantised_candidates(vectors, "vec_id", "embedding", spark.read.parquet(path), books, asked, "query_id", "_asked", 10)
+
+
+@query()
+def quantised_vector_search(spark, sf_dir):
+    return _quantised(spark, sf_dir)
+
+
+@query("SELECT 10 * count(*) AS wanted, true AS reached FROM embeddings WHERE vec_id % 20 = 0")
+def quantised_search_recall(spark, sf_dir):
+    measured = RT.recall(_quantised(spark, sf_dir), _approximate(spark, sf_dir, False), "query_id", "vec_id")
+    return measured.select("wanted", (F.col("recall") >= 0.9).alias("reached"))
+
+
+def _fused(spark, sf_dir, scores: DataFrame, lexical: DataFrame, vector: DataFrame, k: int) -> DataFrame:
+    """Fusion of the whole lists of which ``lexical`` and ``vector`` hold the beginnings."""
+    candidates = pin(lexical.select("item_id", "doc_id").union(vector.select("item_id", "doc_id")).distinct())
+    lists = [
+        RT.exact_ranks(scores, "item_id", "doc_id", candidates),
+        RT.exact_vector_ranks(_document_vectors(spark, sf_dir), "doc_id", "embedding", _item_vectors(spark, sf_dir), "item_id", "embedding", candidates),
+    ]
+    return RT.reciprocal_rank_fusion(lists, "item_id", "doc_id", k)
+
+
+WHOLLY_FUSED = f"WITH {BM25}, {VECTOR}, {FUSED} SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM fused_ranked WHERE rank <= 10"
+
+
+@query(WHOLLY_FUSED)
 def hybrid_search(spark, sf_dir):
-    lists = [_lexical(spark, sf_dir, DEPTH), _vector(spark, sf_dir, DEPTH)]
-    return RT.reciprocal_rank_fusion(lists, "item_id", "doc_id", 10)
+    """Fusion of the whole lists: every document counts with its rank in each, however far down."""
+    depth = RT.fusion_depth(2, 10)
+    scores = _lexical_scores(spark, sf_dir)
+    return _fused(spark, sf_dir, scores, RT.top_per_query(scores, "item_id", "doc_id", depth), _vector(spark, sf_dir, depth), 10)
 
 
-@query(f"WITH {BM25}, {VECTOR}, {FULLY_FUSED} SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM fully_ranked WHERE rank <= 10")
+@query(WHOLLY_FUSED)
 def full_hybrid_search(spark, sf_dir):
-    """Fusion of the whole lists: every document counts with its rank in each, however far down."""
-    vectors = RT.vector_scores(_document_vectors(spark, sf_dir), "doc_id", "embedding", _item_vectors(spark, sf_dir), "item_id", "embedding")
-    lists = [RT.full_ranks(scores, "item_id", "doc_id") for scores in (_lexical_scores(spark, sf_dir), vectors)]
-    return RT.reciprocal_rank_fusion(lists, "item_id", "doc_id", 10)
+    """The same under its earlier name, when ``hybrid_search`` fused the beginnings alone."""
+    return hybrid_search(spark, sf_dir)
 
 
 def _reranked(spark, sf_dir, candidates):
@@ -186,11 +216,12 @@ FROM judged LEFT JOIN wanted USING (item_id) GROUP BY strategy"""
 )
 def retrieval_quality(spark, sf_dir):
     # The ranked lists feed several strategies, so they are computed once.
-    lexical, vector = pin(_lexical(spark, sf_dir, DEPTH)), pin(_vector(spark, sf_dir, DEPTH))
+    scores = _lexical_scores(spark, sf_dir)
+    lexical, vector = pin(RT.top_per_query(scores, "item_id", "doc_id", DEPTH)), pin(_vector(spark, sf_dir, DEPTH))
     strategies = {
         "lexical": lexical,
         "vector": vector,
-        "hybrid": RT.reciprocal_rank_fusion([lexical, vector], "item_id", "doc_id", 10),
+        "hybrid": _fused(spark, sf_dir, scores, lexical, vector, 10),
         "reranked": _reranked(spark, sf_dir, lexical),
     }
     return RT.retrieval_quality(strategies, _relevant(spark, sf_dir), "item_id", "doc_id", 10)
