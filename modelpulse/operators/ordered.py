@@ -28,6 +28,9 @@ SEQ = "_seq"
 _ROW_BITS = 33
 # Rows of a per-key table (keys and a few numbers, about 100 bytes each) that may be broadcast.
 MAX_BROADCAST_ROWS = 200_000
+# Quantile sketches err by one rank in so many; exact values are looked for within a few such errors.
+SKETCH_ACCURACY = 10_000
+SKETCH_ERRORS = 3
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -143,22 +146,52 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
     return joined.select(*df.columns, (F.col(SEQ) + F.col("_shift")).alias(out))
 
 
+def _between_sketched(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """``keys`` and ``value``, with values that cannot be a quantile moved to the nearest end of where one lies.
+
+    A first pass sketches, per key, values a few rank errors below and above each quantile; the sketch errs by one rank in
+    ``SKETCH_ACCURACY`` at most. Between them values stay as they are, all others become the nearest such end above them (or
+    the last one): how many rows lie below a quantile remains the same. Keys with few rows keep all values.
+    """
+    slack = SKETCH_ERRORS / SKETCH_ACCURACY
+    wanted = sorted(set(probs))
+    shares = [min(max(p + sign * slack, 0.0), 1.0) for p in wanted for sign in (-1, 1)]
+    sketch = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.percentile_approx(value, shares, SKETCH_ACCURACY).alias("_ends"))
+    plain = df.select(*keys, F.col(value).alias("_value"))
+    if keys:
+        known = join_totals(plain, sketch, keys)
+        rows, ends = F.col("_rows"), [F.col("_ends")[i] for i in range(len(shares))]
+    else:
+        found = sketch.first()
+        known = plain
+        rows, ends = F.lit(found["_rows"]), [F.lit(x) for x in found["_ends"] or [None] * len(shares)]
+    own = F.col("_value")
+    moved = F.when(rows <= SKETCH_ACCURACY, own)
+    for low, high in zip(ends[::2], ends[1::2]):
+        moved = moved.when(own < low, low).when(own <= high, own)
+    return known.select(*keys, moved.otherwise(ends[-1]).alias(value))
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per entry of ``probs``.
 
-    Values are counted first (with map-side combine), then located by running counts; no group is
-    gathered in one task, unlike the built-in exact percentile.
+    Two passes, and few rows leave their tasks: the first sketches where the quantiles lie, the second counts the values
+    there and how many rows are below (with map-side combine). The counts are located by running sums: in a window
+    where they are counted few, else in blocks, so that no group is gathered in one task.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    counts = order_blocks(counts, keys, [value])
-    cum = running(counts, keys, [value], {"_cum": ("sum", "_c")})
-    # Sizes come from the pinned counts, not from the scan, which would then run twice.
-    if keys:
-        sizes = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-        cum = join_totals(cum, sizes, list(keys))
+    present = df.where(F.col(value).isNotNull())
+    near = _between_sketched(present, keys, value, list(probs.values()))
+    counts = pin(near.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
+    if counts.count() <= MAX_BROADCAST_ROWS:
+        upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = counts.select(*keys, value, F.sum("_c").over(upto).alias("_cum"), F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
     else:
-        size = counts.agg(F.sum("_c")).first()[0] or 0
-        cum = cum.withColumn("_n", F.lit(size))
+        cum = running(order_blocks(counts, keys, [value]), keys, [value], {"_cum": ("sum", "_c")})
+        # Sizes come from the pinned counts, not from the scan, which would then run again.
+        if keys:
+            cum = join_totals(cum, counts.groupBy(*keys).agg(F.sum("_c").alias("_n")), list(keys))
+        else:
+            cum = cum.withColumn("_n", F.lit(counts.agg(F.sum("_c")).first()[0] or 0))
     parts = []
     for i, p in enumerate(probs.values()):
         place = F.lit(float(p)) * (F.col("_n") - 1)

@@ -28,6 +28,9 @@ TASK_WEIGHTS = {"predict": 10, "health": 1, "metrics": 1}
 SLO_MS = {"p50": 50.0, "p95": 150.0, "p99": 250.0}
 UPTIME_TARGET = 99.9
 
+# Size of a stored latency sketch: ranks err by less than half a percent.
+SKETCH_SIZE = 1024
+
 
 def succeeded(status: str = "status") -> Column:
     return F.col(status) == 200
@@ -310,6 +313,21 @@ def approximate_percentiles(
     return sketched.select(*keys, *[F.col("_p")[i].alias(f"{name}_ms") for i, name in enumerate(targets)])
 
 
+def latency_sketches(requests: DataFrame, keys: Sequence[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """Keys, ``requests`` and ``sketch``: a mergeable sketch of the successes' latencies, to be stored per hour or day."""
+    return successful(requests).groupBy(*keys).agg(
+        F.count("latency_ms").alias("requests"), F.kll_sketch_agg_double("latency_ms", F.lit(size)).alias("sketch")
+    )
+
+
+def merged_percentiles(sketches: DataFrame, keys: Sequence[str], targets: dict[str, float] = SLO_MS) -> DataFrame:
+    """Percentiles over any stored sketches, such as those of a day's hours, without the rows that they came from."""
+    merged = sketches.groupBy(*keys).agg(F.sum("requests").alias("requests"), F.kll_merge_agg_double("sketch").alias("_all"))
+    shares = F.array(*[F.lit(float(name[1:]) / 100) for name in targets])
+    found = merged.select(*keys, "requests", F.kll_sketch_get_quantile_double("_all", shares).alias("_p"))
+    return found.select(*keys, "requests", *[F.col("_p")[i].alias(f"{name}_ms") for i, name in enumerate(targets)])
+
+
 def uptime(requests: DataFrame, period: Column, target: float = UPTIME_TARGET) -> DataFrame:
     """Success share in percent per period, with a verdict against the target."""
     rate = 100.0 * F.count_if(succeeded()) / F.count(F.lit(1))

@@ -8,6 +8,7 @@ from modelpulse.functions import scalar as S
 from modelpulse.operators import requests as R
 from modelpulse.operators.ordered import join_totals
 from modelpulse.plans.registry import REQUESTS, histogram_sql, query, with_requests
+from modelpulse.session import scratch_path
 from modelpulse.sources.tables import load, requests
 
 
@@ -328,11 +329,39 @@ def latency_slo_sketch(spark, sf_dir):
     ranked = join_totals(log, R.approximate_percentiles(log, ["endpoint"], accuracy=10_000), ["endpoint"])
     n, slack = F.count(F.lit(1)), F.count(F.lit(1)) / 10_000 + 1
 
-    def in_bounds(name, share):
+    return ranked.groupBy("endpoint").agg(n.alias("n"), *_in_bounds(n, slack))
+
+
+def _in_bounds(n, slack):
+    """Whether the ranks of p50_ms, p95_ms and p99_ms are those asked for, give or take ``slack`` rows."""
+
+    def one(name, share):
         below, upto = F.count_if(F.col("latency_ms") < F.col(name)), F.count_if(F.col("latency_ms") <= F.col(name))
         return (F.coalesce(below <= share * n + slack, F.lit(False)) & (upto >= share * n - slack)).alias(name.replace("_ms", "_in_bounds"))
 
-    return ranked.groupBy("endpoint").agg(n.alias("n"), *[in_bounds(f"p{p}_ms", p / 100) for p in (50, 95, 99)])
+    return [one(f"p{p}_ms", p / 100) for p in (50, 95, 99)]
+
+
+@query(
+    with_requests(
+        """
+SELECT endpoint, count(*) AS n, count(DISTINCT date_trunc('hour', ts)) AS sketches, true AS p50_in_bounds, true AS p95_in_bounds, true AS p99_in_bounds
+FROM requests WHERE status = 200 GROUP BY endpoint"""
+    )
+)
+def latency_slo_merged(spark, sf_dir):
+    """Percentiles from one stored sketch per endpoint and hour, merged; whether their ranks lie within a percent."""
+    log = R.successful(requests(spark, sf_dir)).withColumn("hour", F.date_trunc("hour", "start_ts"))
+    path = scratch_path(spark, "latency-sketches")
+    R.latency_sketches(log, ["endpoint", "hour"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    merged = R.merged_percentiles(stored, ["endpoint"]).join(stored.groupBy("endpoint").agg(F.count(F.lit(1)).alias("sketches")), "endpoint")
+    n = F.count(F.lit(1))
+    return (
+        join_totals(log.select("endpoint", "latency_ms"), merged, ["endpoint"])
+        .groupBy("endpoint")
+        .agg(n.alias("n"), F.max("sketches").alias("sketches"), *_in_bounds(n, 0.01 * n + 1))
+    )
 
 
 @query(

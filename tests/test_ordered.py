@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from modelpulse.operators import ordered
 from modelpulse.operators.ordered import exact_quantiles, first_n_by_hash, positions, running
 from modelpulse.operators.splits import contiguous_folds, holdout, stratified_holdout
 
@@ -69,6 +70,42 @@ def test_exact_quantiles(skewed):
         assert [row[n] for n in probs] == pytest.approx([np.quantile(values, p) for p in probs.values()])
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_exact_quantiles_of_large_groups(spark, monkeypatch, few):
+    """Groups beyond the sketch's accuracy: near-distinct values, heavy ties, wide ranges, a hot group, a small one, a null key."""
+    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", 200)
+    if not few:
+        monkeypatch.setattr(ordered, "MAX_BROADCAST_ROWS", 10)
+    rng = np.random.default_rng(6)
+    groups = {
+        "near": rng.normal(size=30_000),
+        "ties": np.floor(rng.exponential(3, size=5_000)),
+        "wide": np.exp(rng.normal(size=4_000) * 20),
+        "small": rng.normal(size=7),
+        None: rng.normal(size=900),
+        "one": np.full(3_000, 4.25),
+    }
+    rows = [(k, float(v)) for k, values in groups.items() for v in values] + [("near", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    probs = {"p99": 0.99, "p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    got = exact_quantiles(df, ["k"], "v", probs).collect()
+    assert len(got) == len(groups)
+    for row in got:
+        assert [row[n] for n in probs] == pytest.approx([np.quantile(groups[row["k"]], p) for p in probs.values()], rel=1e-12)
+    everything = np.concatenate(list(groups.values()))
+    row = exact_quantiles(df, [], "v", probs).first()
+    assert [row[n] for n in probs] == pytest.approx([np.quantile(everything, p) for p in probs.values()], rel=1e-12)
+    assert exact_quantiles(df.where("false"), [], "v", probs).first()["p50"] is None
+    assert exact_quantiles(df.where("false"), ["k"], "v", probs).count() == 0
+
+
+def test_few_rows_of_a_large_group_move(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", 1000)
+    df = spark.range(200_000).select((F.col("id") % 2).alias("k"), F.rand(5).alias("v"))
+    near = ordered._between_sketched(df, ["k"], "v", [0.5, 0.95, 0.99])
+    assert near.groupBy("k", "v").count().count() < 0.03 * 200_000
+
+
 def test_hash_threshold_is_exact(spark):
     df = spark.range(5000).select("id", (F.col("id") % 2).alias("k"), F.pmod(F.xxhash64("id"), F.lit(2**32)).alias("h"))
     for share, wanted in ((0.28, 700), (0.0001, 1), (1.0, 2500)):
