@@ -61,6 +61,14 @@ def streamed_scores(spark, sf_dir):
     )
 
 
+@query(with_requests("SELECT endpoint, count(*) // 8 AS batches, 8 * (count(*) // 8) AS batched FROM requests GROUP BY endpoint"))
+def bounded_batches(spark, sf_dir):
+    """Batches of eight rows per endpoint; what is left would wait for the timer, here longer than the stream runs."""
+    batched = live.size_or_time_batches(_requests(spark, sf_dir), ["endpoint"], ["request_id"], wait_ms=86_400_000)
+    full = live.run_to_table(batched, "bounded-batches", once=True).where("cause = 'size'")
+    return full.groupBy("endpoint").agg(F.count_if(F.col("place") == 0).alias("batches"), F.count_distinct("request_id").alias("batched"))
+
+
 @query(ORACLE["medallion_gold"])
 def streamed_medallion_gold(spark, sf_dir):
     base = scratch_path(spark, "medallion-stream")

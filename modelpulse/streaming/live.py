@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from modelpulse.operators import requests as R
+from modelpulse.operators.batching import MAX_BATCH, TICK_US
 from modelpulse.operators.scoring import score_in_batches
 from modelpulse.plans.medallion import RAW_SCHEMA as SILVER_SCHEMA
-from modelpulse.plans.medallion import parsed_events, without_repeats
+from modelpulse.plans.medallion import parsed_events
 from modelpulse.session import scratch_path
 
 # Our choice: lifetime counters never expire, windowed ones need a bound for late data.
@@ -64,37 +66,129 @@ def score_stream(stream: DataFrame, features: str, width: int, make_predict: Cal
     return score_in_batches(stream, features, width, make_predict, batch_size)
 
 
-def start_silver(bronze: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
-    """Append parsed events without repeats, however late they come; a repeated batch overwrites itself.
+class FirstArrival(StatefulProcessor):
+    """Passes on the first row of every key and remembers that it came; of rows that come together the smallest."""
 
-    A batch is compared with all ids that earlier batches wrote, of which only ids and days are read: a repeat may carry
-    another day. No state is kept and no event is dropped for its age. Of repeats that differ, that of the earliest
-    batch stays, where the batch job takes the smallest.
-    """
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.came = handle.getValueState("came", "came boolean")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = without_repeats(batch).persist()
-        if batch_id > 0:
-            written = batch.sparkSession.read.schema(f"{SILVER_SCHEMA}, batch bigint, day date").option("basePath", path).parquet(f"{path}/batch=*")
-            new = join_anti(fresh, written.where(F.col("batch") < batch_id))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if not self.came.exists():
+            self.came.update((True,))
+            # As the batch job orders them: a missing value is the smallest.
+            yield min(rows, key=lambda row: [(v is not None, v) for v in row])
+
+    def close(self) -> None:
+        pass
+
+
+class SizeOrTime(StatefulProcessor):
+    """Batches of ``size`` rows of a key in the order in which they come, or of what waits once the first has waited long enough."""
+
+    def __init__(self, size: int, wait_ms: int, keys: Sequence[str], columns: Sequence[str], types: str):
+        self.size, self.wait_ms, self.keys, self.columns, self.types = size, wait_ms, list(keys), list(columns), types
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.types)
+        self.sent = handle.getValueState("sent", "batches bigint")
+        self.row = Row(*self.keys, "batch", "batch_size", "cause", "place", *self.columns)
+
+    def _batch(self, key, rows, cause: str) -> Iterator[Row]:
+        number = self.sent.get()[0] if self.sent.exists() else 0
+        self.sent.update((number + 1,))
+        for place, row in enumerate(rows):
+            yield self.row(*key, number, len(rows), cause, place, *row)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        timed = bool(held)
+        for row in rows:
+            held.append(tuple(row[c] for c in self.columns))
+            if len(held) == self.size:
+                yield from self._batch(key, held, "size")
+                held, timed = [], False
+        if held:
+            self.waiting.put(held)
         else:
-            new = fresh
-        new.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch_id}")
-        fresh.unpersist()
+            self.waiting.clear()
+        if not timed:
+            # Those that the timer was set for are gone; what waits now has come in this trigger.
+            self._stop()
+            if held:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.wait_ms)
 
-    writer = parsed_events(bronze).writeStream.option("checkpointLocation", state).foreachBatch(write)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        self.waiting.clear()
+        if held:
+            yield from self._batch(key, held, "time")
+
+    def _stop(self) -> None:
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+
+    def close(self) -> None:
+        pass
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Keyed state in RocksDB: it may outgrow the memory, and its changes are what a checkpoint writes."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def join_anti(events: DataFrame, known: DataFrame) -> DataFrame:
-    """Events whose id is not among the known ones; those without a time are compared with one another."""
-    right = known.select(F.col("event_id").alias("_id"), F.col("day").isNull().alias("_timeless"))
-    return events.join(right, (F.col("event_id") == F.col("_id")) & (F.col("day").isNull() == F.col("_timeless")), "left_anti")
+def without_earlier(events: DataFrame) -> DataFrame:
+    """Events whose id has not come before, however long ago; one without a time stands beside one with a time.
 
+    The state is one flag per id; no written row is read again.
+    """
+    keep_state_on_disk(events.sparkSession)
+    grouped = events.withColumn("_timeless", F.col("day").isNull()).groupBy("event_id", "_timeless")
+    schema = T.StructType([*events.schema, T.StructField("_timeless", T.BooleanType())])
+    return grouped.transformWithState(FirstArrival(), schema, "append", "none").drop("_timeless")
+
+
+def size_or_time_batches(requests: DataFrame, keys: Sequence[str], columns: Sequence[str], size: int = MAX_BATCH, wait_ms: int = TICK_US // 1000) -> DataFrame:
+    """Each row of a stream with its batch: keys, ``batch`` (from 0 per key), ``batch_size``, ``cause`` (size or time), ``place``, columns.
+
+    A batch closes with its ``size``-th row or when its first row has waited ``wait_ms`` of processing time, whichever comes
+    first. The state is at most ``size`` - 1 rows per key; a busy endpoint is spread by a further key, such as the replica.
+    """
+    keep_state_on_disk(requests.sparkSession)
+    kinds = {f.name: f.dataType for f in requests.schema}
+    types = ", ".join(f"`{c}` {kinds[c].simpleString()}" for c in columns)
+    out = T.StructType(
+        [
+            *[T.StructField(k, kinds[k]) for k in keys],
+            T.StructField("batch", T.LongType()),
+            T.StructField("batch_size", T.IntegerType()),
+            T.StructField("cause", T.StringType()),
+            T.StructField("place", T.IntegerType()),
+            *[T.StructField(c, kinds[c]) for c in columns],
+        ]
+    )
+    return requests.select(*keys, *columns).groupBy(*keys).transformWithState(SizeOrTime(size, wait_ms, keys, columns, types), out, "append", "processingTime")
 
-def start_table(stream: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
-    """Append to a Parquet table, exactly once; without an interval all present data is taken, then it stops."""
+
+def start_silver(bronze: DataFrame, path: str, state: str, every: str | None = None) -> StreamingQuery:
+    """Append parsed events without repeats to a table by day, exactly once, however late they come.
+
+    The first arrival stays; of repeats that come together and differ the smallest, as in the batch job.
+    """
+    silver = without_earlier(parsed_events(bronze))
+    writer = silver.writeStream.format("parquet").outputMode("append").partitionBy("day").option("checkpointLocation", state).option("path", path)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def start_table(stream: DataFrame, path: str, state: str, every: str | None = None, once: bool = False) -> StreamingQuery:
+    """Append to a Parquet table, exactly once; without an interval all present data is taken, then it stops.
+
+    ``once`` takes it in a single trigger. A stream with timers needs that or an interval: while it keeps any it always asks
+    for a further trigger.
+    """
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", state).option("path", path)
+    if once:
+        return writer.trigger(once=True).start()
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
@@ -111,11 +205,11 @@ def start_snapshots(stream: DataFrame, path: str, state: str, every: str | None
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str, once: bool = False) -> DataFrame:
     """Run over everything that is present and read back the finished table."""
     spark = stream.sparkSession
     base = scratch_path(spark, name)
-    start_table(stream, f"{base}/table", f"{base}/state").awaitTermination()
+    start_table(stream, f"{base}/table", f"{base}/state", once=once).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
@@ -131,4 +225,4 @@ def run_to_silver(bronze: DataFrame, name: str) -> DataFrame:
     spark = bronze.sparkSession
     base = scratch_path(spark, name)
     start_silver(bronze, f"{base}/table", f"{base}/state").awaitTermination()
-    return spark.read.schema(f"{SILVER_SCHEMA}, batch bigint, day date").parquet(f"{base}/table")
+    return spark.read.schema(f"{SILVER_SCHEMA}, day date").parquet(f"{base}/table")

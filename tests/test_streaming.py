@@ -1,5 +1,7 @@
 """Streams give what the batch jobs give, late rows aside."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from modelpulse.plans import medallion
@@ -68,6 +70,66 @@ def test_late_and_repeated_rows_reach_silver_in_any_number_of_batches(spark, tmp
     assert stream.count() == 6
 
 
+def _until(query, done, seconds=60):
+    """Wait until the running query's table is as asked."""
+    end = time.monotonic() + seconds
+    while time.monotonic() < end and query.isActive and not done():
+        time.sleep(0.2)
+    assert done(), query.exception()
+
+
+def test_batches_close_by_size_or_time(spark, tmp_path):
+    """Eight and three rows come: one batch by size, and the rest by time, in triggers of one running query."""
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema("endpoint string, request_id bigint").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+
+    def put(name, rows):
+        spark.createDataFrame(rows, "endpoint string, request_id bigint").coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    out = str(tmp_path / "out")
+    table = lambda: [tuple(r) for r in spark.read.schema(batched.schema).parquet(out).orderBy("endpoint", "batch", "place").collect()]
+    batched = live.size_or_time_batches(source, ["endpoint"], ["request_id"], size=8, wait_ms=50)
+    put("a", [("/a", i) for i in range(11)] + [("/b", 100)])
+    query = live.start_table(batched, out, str(tmp_path / "state"), every="200 milliseconds")
+    try:
+        _until(query, lambda: len(table()) == 12)
+        put("b", [("/a", i) for i in range(11, 13)])
+        _until(query, lambda: len(table()) == 14)
+    finally:
+        query.stop()
+    rows = table()
+    assert [r for r in rows if r[:3] == ("/a", 0, 8)] == [("/a", 0, 8, "size", i, i) for i in range(8)]
+    rest = [r for r in rows if r[0] == "/a" and r[1] > 0]
+    assert [r[5] for r in rest] == list(range(8, 13)) and {r[3] for r in rest} == {"time"}
+    assert [r for r in rows if r[0] == "/b"] == [("/b", 0, 1, "time", 0, 100)]
+
+
+def test_waiting_rows_survive_a_restart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema("endpoint string, request_id bigint").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    batched = live.size_or_time_batches(source, ["endpoint"], ["request_id"], size=8, wait_ms=86_400_000)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    for i, n in enumerate((5, 2, 10)):
+        rows = [("/a", 100 * i + k) for k in range(n)]
+        spark.createDataFrame(rows, "endpoint string, request_id bigint").coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+        live.start_table(batched, out, state, once=True).awaitTermination()
+    rows = spark.read.schema(batched.schema).parquet(out).orderBy("batch", "place").collect()
+    assert [r.request_id for r in rows] == [0, 1, 2, 3, 4, 100, 101, *range(200, 209)] and {(r.batch, r.cause) for r in rows} == {(0, "size"), (1, "size")}
+
+
+def test_silver_reads_no_written_row(spark, tmp_path):
+    """A batch works without the table: state alone tells repeats, also after a restart."""
+    line = '{"event_id": %d, "ts": "2024-01-02 10:00:00", "user_id": 1, "event_type": "view", "value": 1.0, "props": "{}"}'
+    (tmp_path / "in").mkdir()
+    bronze = spark.readStream.schema("value string").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    state, found = str(tmp_path / "state"), []
+    for i, ids in enumerate(([1, 2, 2], [2, 3, 1], [4, 3])):
+        spark.createDataFrame([(line % k,) for k in ids], "value string").coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+        query = live.without_earlier(medallion.parsed_events(bronze)).writeStream.option("checkpointLocation", state)
+        query.foreachBatch(lambda batch, _: found.append(sorted(r.event_id for r in batch.collect()))).trigger(availableNow=True).start().awaitTermination()
+    assert [ids for ids in found if ids] == [[1, 2], [3], [4]]
+
+
 def test_snapshots_take_turns(spark, tmp_path):
     (tmp_path / "in").mkdir()
     source = spark.readStream.schema("id bigint").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
