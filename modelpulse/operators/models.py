@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
-    LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -49,10 +47,6 @@ def fit_ridge(train: DataFrame, alpha: float = RIDGE_ALPHA):
     ).fit(train)
 
 
-def fit_elastic_net(train: DataFrame, penalty: float, l1_share: float):
-    return LinearRegression(regParam=penalty, elasticNetParam=l1_share, maxIter=50).fit(train)
-
-
 def coefficients(spark: SparkSession, model, features: Sequence[str], name: str) -> DataFrame:
     rows = [(name, f, float(w)) for f, w in zip(features, model.coefficients)]
     rows.append((name, "(intercept)", float(model.intercept)))
@@ -73,24 +67,6 @@ def top_features(importances: DataFrame, k: int = 10) -> DataFrame:
     return importances.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def complexity_sweep(
-    folded: DataFrame, depths: Sequence[int] = SWEEP_DEPTHS, folds: int = 5, parallelism: int = 8, seed: int = SEED
-) -> DataFrame:
-    """Mean accuracy per tree depth over the given folds (column ``fold``)."""
-    tree = DecisionTreeClassifier(seed=seed)
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
-    model = CrossValidator(
-        estimator=tree,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    ).fit(folded.select("features", "label", "fold"))
-    rows = [(int(d), float(s)) for d, s in zip(depths, model.avgMetrics)]
-    return folded.sparkSession.createDataFrame(rows, "depth int, mean_accuracy double")
-
-
 def ensemble_scores(train: DataFrame, test: DataFrame, seed: int = SEED) -> DataFrame:
     """Test scores of a random forest and of gradient-boosted trees, each picked from a small grid."""
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
@@ -119,8 +95,3 @@ def learning_curve(
         model = fit_ols(part)
         rows.append((float(fraction), float(model.summary.r2), float(evaluator.evaluate(model.transform(test)))))
     return train.sparkSession.createDataFrame(rows, "fraction double, train_r2 double, test_r2 double")
-
-
-def fit_churn(train: DataFrame, features: Sequence[str]):
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, LogisticRegression(maxIter=50, regParam=0.01)]).fit(train)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from modelpulse.operators import features as FE
+from modelpulse.operators import linear as LI
 from modelpulse.operators import metrics as ME
 from modelpulse.operators import models as MO
 from modelpulse.operators import splits as SP
+from modelpulse.operators import trees as TR
 from modelpulse.plans.registry import query
 from modelpulse.session import pin
 from modelpulse.sources.tables import FEATURES, labelled_frame, load, load_texts, text_features
@@ -244,21 +246,42 @@ def ols_and_ridge_scores(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query()
+# Lasso and elastic net by the conditions of a minimum: of all patterns of signs (0: left out) the one whose solution has these
+# signs and whose left-out features correlate less with the error than the penalty.
+PENALISED = f"""{SIDES},
+moments AS (SELECT {MOMENTS} FROM sides WHERE NOT is_test),
+penalties AS (SELECT * FROM (VALUES ('ols', 0.0::DOUBLE, 0.0::DOUBLE), ('ridge', 0.0, -1.0), ('lasso', 1.0, 0.0), ('elastic_net', 0.5, 0.5)) AS v(name, l1, l2)),
+signs AS (SELECT unnest([-1, 0, 1]) AS s),
+patterns AS (SELECT concat_ws(' ', name, s1, s2, s3) AS model, name, l1, CASE WHEN l2 < 0 THEN 1.0 / n ELSE l2 END AS l2, s1, s2, s3
+             FROM penalties, moments, (SELECT x.s AS s1, y.s AS s2, z.s AS s3 FROM signs x, signs y, signs z) WHERE l1 > 0 OR (s1 = 1 AND s2 = 1 AND s3 = 1)),
+penal AS (SELECT model, m1, m2, m3, my, CASE WHEN s1 = 0 THEN 1 ELSE v1 + l2 END AS a, CASE WHEN s2 = 0 THEN 1 ELSE v2 + l2 END AS b,
+                 CASE WHEN s3 = 0 THEN 1 ELSE v3 + l2 END AS c, CASE WHEN s1 * s2 = 0 THEN 0 ELSE c12 END AS c12,
+                 CASE WHEN s1 * s3 = 0 THEN 0 ELSE c13 END AS c13, CASE WHEN s2 * s3 = 0 THEN 0 ELSE c23 END AS c23,
+                 CASE WHEN s1 = 0 THEN 0 ELSE y1 - l1 * s1 END AS y1, CASE WHEN s2 = 0 THEN 0 ELSE y2 - l1 * s2 END AS y2,
+                 CASE WHEN s3 = 0 THEN 0 ELSE y3 - l1 * s3 END AS y3 FROM patterns, moments),
+{SOLUTION.strip()},
+optimal AS (SELECT p.name, f.* FROM fitted f JOIN patterns p USING (model), moments t WHERE p.l1 = 0 OR (
+  (s1 = 0 OR sign(w1) = s1) AND (s2 = 0 OR sign(w2) = s2) AND (s3 = 0 OR sign(w3) = s3)
+  AND (s1 <> 0 OR abs(t.y1 - t.v1 * w1 - t.c12 * w2 - t.c13 * w3) <= l1) AND (s2 <> 0 OR abs(t.y2 - t.c12 * w1 - t.v2 * w2 - t.c23 * w3) <= l1)
+  AND (s3 <> 0 OR abs(t.y3 - t.c13 * w1 - t.c23 * w2 - t.v3 * w3) <= l1)))
+"""
+
+
+@query(
+    f"""WITH {PENALISED},
+scored AS (SELECT name, n_chars AS y, w0 + w1 * n_words + w2 * n_distinct + w3 * n_lines AS p FROM optimal, sides WHERE is_test)
+SELECT name AS model, count(*) AS n, round(avg((y - p) ** 2), 2) AS mse, round(1 - avg((y - p) ** 2) / var_pop(y), 6) AS r2
+FROM scored GROUP BY name"""
+)
 def linear_models(spark, sf_dir):
-    """Test MSE and R2 of least squares, ridge, lasso and elastic net."""
-    train, test = _regression_sides(spark, sf_dir)
-    models = {
-        "ols": MO.fit_ols(train),
-        "ridge": MO.fit_ridge(train),
-        "lasso": MO.fit_elastic_net(train, 1.0, 1.0),
-        "elastic_net": MO.fit_elastic_net(train, 1.0, 0.5),
-    }
-    scored = None
-    for name, model in models.items():
-        row = ME.regression_scores(model.transform(test), "label", "prediction").withColumn("model", F.lit(name))
-        scored = row if scored is None else scored.unionByName(row)
-    return scored
+    """Test MSE and R2 of least squares, ridge, lasso and elastic net, all from one aggregate of the training rows."""
+    frame = pin(SP.holdout(text_features(load_texts(spark, sf_dir, "documents")), "doc_id").select("doc_id", *FEATURES, "n_chars", "is_test"))
+    m = LI.moments(frame.where(~F.col("is_test")), FEATURES, "n_chars")
+    models = {"ols": LI.fit(m), "ridge": LI.ridge(m), "lasso": LI.lasso(m), "elastic_net": LI.elastic_net(m)}
+    said = F.array(*[F.struct(F.lit(name).alias("model"), model.prediction(FEATURES).alias("prediction")) for name, model in models.items()])
+    judged = frame.where(F.col("is_test")).select("n_chars", F.inline(said))
+    scores = ME.regression_scores(judged, "n_chars", "prediction", ["model"])
+    return scores.select("model", "n", F.round("mse", 2).alias("mse"), F.round("r2", 6).alias("r2"))
 
 
 @query(
@@ -286,23 +309,83 @@ def actual_vs_predicted(spark, sf_dir):
     )
 
 
-@query()
+def _levels(rows: str, depth: int, train: str, key: str = "0") -> str:
+    """The exact tree in SQL: per level the counted values, running counts, the best cut of every node and the rows in their children.
+
+    ``rows`` has doc_id, target, the features and what ``train`` (a condition) and ``key`` (the tree) need.
+    """
+    value = "CASE f WHEN 0 THEN n_words WHEN 1 THEN n_distinct ELSE n_lines END"
+    gini = lambda one, size: f"(1 - ({one} / {size}) ** 2 - (({size} - {one}) / {size}) ** 2)"
+    parts = [f"placed0 AS MATERIALIZED (SELECT *, {key} AS tree, CAST(1 AS BIGINT) AS node FROM {rows})"]
+    for i in range(depth):
+        parts.append(
+            f"""counted{i} AS MATERIALIZED (SELECT tree, node, f, {value} AS v, CAST(sum(1 - target) AS BIGINT) AS c0, CAST(sum(target) AS BIGINT) AS c1
+  FROM placed{i}, (SELECT unnest([0, 1, 2]) AS f) WHERE node >= {2**i} AND {train} GROUP BY ALL),
+cum{i} AS (SELECT tree, node, f, v, lead(v) OVER w AS following, sum(c0) OVER w AS l0, sum(c1) OVER w AS l1, sum(c0) OVER a AS n0, sum(c1) OVER a AS n1
+  FROM counted{i} WINDOW w AS (PARTITION BY tree, node, f ORDER BY v), a AS (PARTITION BY tree, node, f)),
+cuts{i} AS (SELECT *, round({gini("n1", "(n0 + n1)")} - (l0 + l1) / (n0 + n1) * {gini("l1", "(l0 + l1)")}
+    - (n0 + n1 - l0 - l1) / (n0 + n1) * {gini("(n1 - l1)", "(n0 + n1 - l0 - l1)")}, 9) AS gain FROM cum{i} WHERE following IS NOT NULL AND n0 > 0 AND n1 > 0),
+splits{i} AS MATERIALIZED (SELECT tree, node, f, (v + following) / 2 AS threshold, gain FROM cuts{i} QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, f, v) = 1),
+placed{i + 1} AS MATERIALIZED (SELECT p.* EXCLUDE (node), CASE WHEN f IS NULL THEN p.node ELSE 2 * p.node + CASE WHEN {value} > threshold THEN 1 ELSE 0 END END AS node
+  FROM placed{i} p LEFT JOIN splits{i} s ON p.tree = s.tree AND p.node = s.node)"""
+        )
+    return ",\n".join(parts)
+
+
+STRATIFIED = f"""{TEXT},
+ranked AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {HASH}, doc_id) AS rn, count(*) OVER (PARTITION BY quality) AS n FROM labels),
+divided AS (SELECT frame.*, rn <= ceil(0.2 * n) AS is_test FROM frame JOIN ranked USING (doc_id))"""
+TREE = f"{STRATIFIED}, {_levels('divided', 4, 'NOT is_test')}"
+
+
+def _grown(spark, sf_dir):
+    frame = SP.stratified_holdout(labelled_frame(spark, sf_dir), "target", "doc_id")
+    return TR.grow(frame.select("doc_id", *FEATURES, "target", "is_test"), FEATURES, "target", MO.TREE_DEPTH, is_train=~F.col("is_test"))
+
+
+@query(
+    f"""WITH {TREE},
+said AS (SELECT node, CASE WHEN sum(target) > sum(1 - target) THEN 1 ELSE 0 END AS predicted FROM placed4 WHERE NOT is_test GROUP BY node),
+judged AS (SELECT target AS actual, predicted FROM placed4 JOIN said USING (node) WHERE is_test), {BINARY.format(keys="", group="").strip()}"""
+)
 def tree_scores(spark, sf_dir):
-    train, test = _classification_sides(spark, sf_dir)
-    return ME.binary_scores(MO.fit_tree(train).transform(test), "label", "prediction")
+    """Scores on the held-out rows of the exact tree of depth four."""
+    nodes, placed = _grown(spark, sf_dir)
+    return ME.binary_scores(TR.predictions(nodes, placed.where(F.col("is_test"))), "target", "prediction")
 
 
-@query()
+@query(
+    f"""WITH {TREE},
+falls AS ({" UNION ALL ".join(f"SELECT f, gain * (SELECT count(*) FROM placed{i} p WHERE p.node = s.node AND NOT is_test) AS fall FROM splits{i} s" for i in range(4))}),
+named AS (SELECT feature, coalesce(sum(fall), 0) AS fall FROM (SELECT unnest(['n_words', 'n_distinct', 'n_lines']) AS feature, unnest([0, 1, 2]) AS f) LEFT JOIN falls USING (f) GROUP BY feature)
+SELECT feature, round(coalesce(fall / nullif((SELECT sum(fall) FROM named), 0), 0), 6) AS importance FROM named ORDER BY importance DESC, feature LIMIT 10"""
+)
 def tree_importances(spark, sf_dir):
-    train, _ = _classification_sides(spark, sf_dir)
-    return MO.top_features(MO.feature_importances(spark, MO.fit_tree(train), FEATURES))
+    nodes, _ = _grown(spark, sf_dir)
+    return MO.top_features(TR.importances(nodes, FEATURES).withColumn("importance", F.round("importance", 6)))
 
 
-@query()
+SWEEP = ", ".join(str(d) for d in MO.SWEEP_DEPTHS)
+
+
+@query(
+    f"""WITH {TEXT},
+folded AS (SELECT frame.*, ntile(5) OVER (PARTITION BY target ORDER BY doc_id) - 1 AS fold FROM frame),
+tried AS (SELECT folded.*, held FROM folded, (SELECT unnest([0, 1, 2, 3, 4]) AS held)),
+{_levels("tried", max(MO.SWEEP_DEPTHS), "fold <> held", "held")},
+depths AS (SELECT unnest([{SWEEP}]) AS depth),
+cut AS (SELECT doc_id, tree, target, fold <> held AS is_train, depth,
+               node >> greatest(CAST(floor(log2(node + 0.5)) AS BIGINT) - depth, 0) AS node FROM placed{max(MO.SWEEP_DEPTHS)}, depths),
+said AS (SELECT tree, depth, node, CASE WHEN sum(target) > sum(1 - target) THEN 1 ELSE 0 END AS predicted FROM cut WHERE is_train GROUP BY ALL),
+accuracies AS (SELECT tree, depth, avg(CASE WHEN target = predicted THEN 1.0 ELSE 0.0 END) AS accuracy
+               FROM cut JOIN said USING (tree, depth, node) WHERE NOT is_train GROUP BY ALL)
+SELECT CAST(depth AS INTEGER) AS depth, round(avg(accuracy), 9) AS mean_accuracy FROM accuracies GROUP BY depth"""
+)
 def tree_depth_sweep(spark, sf_dir):
-    frame = SP.contiguous_folds(labelled_frame(spark, sf_dir), "target", ["doc_id"])
-    folded = pin(MO.assembled(frame, FEATURES, "target").select("features", "label", "fold"))
-    return MO.complexity_sweep(folded)
+    """Mean accuracy over five folds for each depth up to ten."""
+    folded = SP.contiguous_folds(labelled_frame(spark, sf_dir), "target", ["doc_id"])
+    swept = TR.depth_sweep(folded.select(*FEATURES, "target", "fold"), FEATURES, "target", "fold", 5, MO.SWEEP_DEPTHS)
+    return swept.withColumn("mean_accuracy", F.round("mean_accuracy", 9))
 
 
 @query()
@@ -344,16 +427,34 @@ def churn_features(spark, sf_dir):
     return FE.churn_features(load(spark, sf_dir, "events"), CUTOFF)
 
 
+CHURN_L2 = 0.01
+
+
+def _churn(spark, sf_dir):
+    table = SP.holdout(FE.churn_features(load(spark, sf_dir, "events"), CUTOFF), "user_id")
+    table = pin(table.select("user_id", "churned", "is_test", *FE.CHURN_FEATURES))
+    train = table.where(~F.col("is_test"))
+    return table, train, LI.fit_logistic(train, FE.CHURN_FEATURES, "churned", CHURN_L2)
+
+
 @query()
 def churn_model(spark, sf_dir):
     """Precision, recall and exact AUC of a logistic model on held-out users."""
-    table = pin(SP.holdout(FE.churn_features(load(spark, sf_dir, "events"), CUTOFF), "user_id").withColumnRenamed("churned", "label"))
-    model = MO.fit_churn(table.where(~F.col("is_test")), FE.CHURN_FEATURES)
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.transform(table.where(F.col("is_test"))).select(
-        "label", "prediction", vector_to_array("probability")[1].alias("score")
-    )
+    table, _, model = _churn(spark, sf_dir)
+    scored = table.where(F.col("is_test")).select(F.col("churned").alias("label"), model.score(FE.CHURN_FEATURES).alias("score"))
+    scored = scored.withColumn("prediction", (F.col("score") > 0.5).cast("double"))
     quality = ME.binary_scores(scored, "label", "prediction").select("precision", "recall", F.lit(1).alias("j"))
     ranking = ME.auc(scored, "label", "score").withColumn("j", F.lit(1))
     return quality.join(ranking, "j").drop("j")
+
+
+@query(
+    "SELECT unnest(['(intercept)', 'n_events', 'n_purchases', 'n_errors', 'n_clicks', 'total_value', 'days_since']) AS term, true AS vanishes, "
+    f"(SELECT count(*) FROM (SELECT DISTINCT user_id FROM events) WHERE NOT ({HASH.replace('doc_id', 'user_id')} < {TEST_LIMIT})) AS users"
+)
+def churn_model_optimality(spark, sf_dir):
+    """Whether the slope of the penalised loss vanishes along every weight of the churn model, by an aggregate of the training users."""
+    _, train, model = _churn(spark, sf_dir)
+    found = LI.slopes(train, FE.CHURN_FEATURES, "churned", model, CHURN_L2)
+    rows = [(term, abs(slope) < 1e-9) for term, slope in zip(["(intercept)", *FE.CHURN_FEATURES], found)]
+    return spark.createDataFrame(rows, "term string, vanishes boolean").withColumn("users", F.lit(train.count()))

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from modelpulse.operators import cost as CO
 from modelpulse.operators import drift as DR
 from modelpulse.operators import features as FE
+from modelpulse.operators import linear as LI
 from modelpulse.operators import metrics as ME
 from modelpulse.operators import models as MO
+from modelpulse.operators import trees as TR
 from modelpulse.operators import validation as V
 
 
@@ -116,3 +118,80 @@ def test_churn_label(spark):
     df = spark.createDataFrame(rows, "user_id bigint, ts timestamp_ntz, event_type string, value double")
     got = {r["user_id"]: (r["churned"], r["n_events"], r["days_since"]) for r in FE.churn_features(df, "2024-01-28").collect()}
     assert got == {1: (1, 1, 23), 2: (0, 1, 23)}
+
+
+def brute_tree(rows, depth, node=1):
+    """Nodes {node: (n0, n1, feature, threshold)} of rows (features, label), by trying every cut."""
+    n = len(rows)
+    n1 = sum(y for _, y in rows)
+    here = {node: (n - n1, n1, None, None)}
+    best = None
+    gini = lambda part: 1 - (sum(y for _, y in part) / len(part)) ** 2 - (1 - sum(y for _, y in part) / len(part)) ** 2
+    if depth and 0 < n1 < n:
+        for f in range(len(rows[0][0])):
+            values = sorted({x[f] for x, _ in rows})
+            for v, after in zip(values, values[1:]):
+                left, right = [r for r in rows if r[0][f] <= v], [r for r in rows if r[0][f] > v]
+                gain = round(gini(rows) - len(left) / n * gini(left) - len(right) / n * gini(right), 9)
+                if best is None or (-gain, f, v) < best[0]:
+                    best = (-gain, f, v), (v + after) / 2, left, right
+    if best:
+        (_, f, _), threshold, left, right = best
+        here[node] = (n - n1, n1, f"f{f}", threshold)
+        here |= brute_tree(left, depth - 1, 2 * node) | brute_tree(right, depth - 1, 2 * node + 1)
+    return here
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_exact_tree_equals_trying_every_cut(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(TR, "MAX_BROADCAST_ROWS", 5)
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(400):
+        x = [float(rng.integers(0, 40)), float(np.round(rng.normal(), 3)), float(rng.integers(0, 3))]
+        rows.append((i, i % 2, *x, int((x[0] > 15) ^ (x[1] > 0.3) if rng.random() < 0.9 else rng.integers(0, 2))))
+    df = spark.createDataFrame(rows, "id int, k int, f0 double, f1 double, f2 double, y int")
+    features = ["f0", "f1", "f2"]
+    nodes, placed = TR.grow(df, features, "y", 4, ["k"], F.col("id") % 5 != 0)
+    got = {k: {} for k in (0, 1)}
+    for r in nodes.collect():
+        got[r.k][r.node] = (r.n0, r.n1, r.feature, r.threshold)
+    for k in (0, 1):
+        assert got[k] == brute_tree([(r[2:5], r[5]) for r in rows if r[1] == k and r[0] % 5], 4)
+    assert placed.count() == 400
+    for depth in (1, 2, 4):
+        said = {r.id: r.prediction for r in TR.predictions(nodes, placed, ["k"], depth).collect()}
+        for i, k, *x, _ in rows:
+            node = 1
+            while got[k][node][2] and node < 2**depth:
+                _, _, f, t = got[k][node]
+                node = 2 * node + (x[features.index(f)] > t)
+            assert said[i] == float(got[k][node][1] > got[k][node][0])
+
+
+def test_tree_of_one_class_or_of_nothing_is_a_leaf(spark):
+    schema = "x double, y int"
+    nodes, placed = TR.grow(spark.createDataFrame([(1.0, 1), (2.0, 1), (None, 1), (5.0, None)], schema), ["x"], "y", 3)
+    assert [tuple(r) for r in nodes.collect()] == [(1, 0, 2, None, None, None)] and placed.count() == 4
+    nodes, placed = TR.grow(spark.createDataFrame([], schema), ["x"], "y", 3)
+    assert nodes.count() == placed.count() == 0
+
+
+def test_penalised_models_are_minima(spark):
+    """The conditions of a minimum hold, weights vanish under large penalties, and ridge and least squares are the library's."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 4)) * [1, 5, 0.2, 3]
+    y = x @ [2.0, 0.0, -3.0, 0.5] + rng.normal(size=500)
+    df = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)] + [(None, 1.0, 1.0, 1.0, 1.0)], "a double, b double, c double, d double, y double")
+    names = ["a", "b", "c", "d"]
+    m = LI.moments(df, names, "y")
+    assert m.n == 500
+    for alpha in (0.01, 0.5, 2.0):
+        assert LI.optimality_gap(m, LI.lasso(m, alpha), l1=alpha) < 1e-6
+        assert LI.optimality_gap(m, LI.elastic_net(m, alpha), l1=alpha / 2, l2=alpha / 2) < 1e-6
+    assert LI.lasso(m, 100.0).weights == [0.0] * 4 and LI.lasso(m, 100.0).intercept == pytest.approx(y.mean())
+    train = MO.assembled(df.dropna(), names, "y")
+    for mine, library in ((LI.fit(m), MO.fit_ols(train)), (LI.ridge(m, 1.0), MO.fit_ridge(train))):
+        assert mine.weights == pytest.approx(list(library.coefficients), rel=1e-6) and mine.intercept == pytest.approx(library.intercept, rel=1e-5)
+    assert LI.moments(df.where("false"), names, "y") is None
