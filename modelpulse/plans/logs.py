@@ -369,6 +369,20 @@ def notebook_artifacts(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH {IMAGES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY path, filename ORDER BY n DESC) AS rn FROM images)
+SELECT path AS folder, filename, md5(body) AS digest, CAST(strlen(body) AS BIGINT) AS length FROM ranked WHERE rn = 1 AND strlen(body) > 0"""
+)
+def notebook_image_files(spark, sf_dir):
+    """The images as files, in one folder per notebook, scanned back; a scan passes over empty files."""
+    path = scratch_path(spark, "notebook-images")
+    final = N.last_write_wins(N.image_outputs(_notebooks(spark, sf_dir)))
+    A.write_artifact_files(final, path, folder="path")
+    scanned = A.read_image_bytes(spark, f"{path}/*", "*.png")
+    named = lambda group: F.regexp_extract("path", r"([^/]+)/([^/]+)$", group)
+    return scanned.select(named(1).alias("folder"), named(2).alias("filename"), F.md5("content").alias("digest"), "length")
+
+
 # Header of an uncompressed 8 x 8 bitmap with 24 bits per pixel.
 BITMAP_HEADER = (
     "424DF6000000000000003600000028000000" "0800000008000000" "0100180000000000C0000000" "00000000000000000000000000000000"
@@ -398,14 +412,36 @@ def image_bytes_scan(spark, sf_dir):
     return scanned.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), "length")
 
 
-@query()
+# Resampling from 8 to 256 as a table of weights (two taps for each place of the crop), applied across, then down. Rows of a
+# bitmap come from the bottom; blue and red are alike. A channel's checksum weighs every pixel by its place.
+RESAMPLED = """
+taps AS (SELECT o, i, 1 - abs(i + 0.5 - (o + 0.5) / 32) AS w FROM (SELECT unnest(range(16, 240)) AS o), (SELECT unnest(range(0, 8)) AS i) WHERE abs(i + 0.5 - (o + 0.5) / 32) < 1),
+weights AS (SELECT o, min(i) AS i0, max(i) AS i1, min_by(w, i) / sum(w) AS w0, CASE WHEN count(*) > 1 THEN max_by(w, i) / sum(w) ELSE 0 END AS w1 FROM taps GROUP BY o),
+bytes AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+pixels AS (SELECT vec_id, c, 7 - pos // 8 AS y, pos % 8 AS x, CASE c WHEN 0 THEN b ELSE 255 - b END AS v
+           FROM (SELECT vec_id, pos, floor((x::DOUBLE + 1) * 127.5) AS b FROM bytes), (SELECT unnest([0, 1]) AS c)),
+across AS (SELECT p.vec_id, p.c, p.y, o - 16 AS ox, round_even(w0 * p.v + w1 * q.v, 0) AS v
+           FROM weights JOIN pixels p ON p.x = i0 JOIN pixels q ON q.x = i1 AND q.vec_id = p.vec_id AND q.c = p.c AND q.y = p.y),
+final AS (SELECT p.vec_id, p.c, (o - 16) * 224 + p.ox AS pos, round_even(w0 * p.v + w1 * q.v, 0) AS v
+          FROM weights JOIN across p ON p.y = i0 JOIN across q ON q.y = i1 AND q.vec_id = p.vec_id AND q.c = p.c AND q.ox = p.ox),
+sums AS (SELECT vec_id, c, CAST(sum(v * (1 + pos % 9973)) AS BIGINT) AS total, min(v) AS low, max(v) AS high FROM final GROUP BY vec_id, c),
+channels AS (SELECT vec_id, total, low, high, c, unnest([0.485, 0.456, 0.406]) AS mean, unnest([0.229, 0.224, 0.225]) AS std, unnest([0, 1, 0]) AS wanted FROM sums)
+"""
+
+
+@query(
+    f"""WITH {RESAMPLED}
+SELECT 'img_' || vec_id || '.bmp' AS filename, 150528 AS "values", max(total) FILTER (c = 0) AS red, max(total) FILTER (c = 1) AS green, max(total) FILTER (c = 0) AS blue,
+       round(min((low / 255 - mean) / std)::FLOAT::DOUBLE, 4) AS lowest, round(max((high / 255 - mean) / std)::FLOAT::DOUBLE, 4) AS highest
+FROM channels WHERE c = wanted GROUP BY vec_id"""
+)
 def image_tensors(spark, sf_dir):
+    """Every pixel of the prepared images, by a checksum of each channel's values before they are standardised."""
     path = scratch_path(spark, "images")
     A.write_artifact_files(_bitmaps(spark, sf_dir), path)
     tensors = I.image_tensors(A.read_images(spark, path).where("ok"))
-    return tensors.select(
-        F.regexp_extract("origin", r"([^/]+)$", 1).alias("filename"),
-        F.size("tensor").alias("values"),
-        F.round(F.array_min("tensor").cast("double"), 4).alias("lowest"),
-        F.round(F.array_max("tensor").cast("double"), 4).alias("highest"),
-    )
+    sums = I.channel_checksums(tensors)
+    return sums.select(
+        F.regexp_extract("origin", r"([^/]+)$", 1).alias("filename"), F.lit(3 * I.CROP_TO**2).alias("values"), "red", "green", "blue",
+        F.round(F.col("lowest").cast("double"), 4).alias("lowest"), F.round(F.col("highest").cast("double"), 4).alias("highest"),
+    )

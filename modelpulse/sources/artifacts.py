@@ -56,16 +56,28 @@ def write_artifact_table(artifacts: DataFrame, path: str) -> None:
     artifacts.write.mode("overwrite").parquet(path)
 
 
-def write_artifact_files(artifacts: DataFrame, path: str, name: str = "filename", content: str = "content") -> None:
-    """One file per row in a folder all executors share; a retried task rewrites the same bytes."""
+def write_artifact_files(artifacts: DataFrame, path: str, name: str = "filename", content: str = "content", folder: str | None = None) -> None:
+    """One file per row in a folder all executors share, or in the row's own ``folder`` below it; a retried task rewrites the same bytes.
+
+    A name that is empty, null, or leads out of its folder fails the job. The file systems are those of pyarrow: local, HDFS
+    and the stores that it knows; for any other store write the columnar table.
+    """
 
     def write(rows):
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(path)
-        store.create_dir(root, recursive=True)
+        made = set()
         for row in rows:
-            with store.open_output_stream(f"{root}/{row[name]}") as out:
+            parts = [row[c] for c in (folder, name) if c]
+            for part in parts:
+                if not part or part in (".", "..") or any(c in part for c in "/\\\0"):
+                    raise ValueError(f"not the name of a file in a folder: {part!r}")
+            here = "/".join([root, *parts[:-1]])
+            if here not in made:
+                store.create_dir(here, recursive=True)
+                made.add(here)
+            with store.open_output_stream(f"{here}/{parts[-1]}") as out:
                 out.write(bytes(row[content]))
 
-    artifacts.select(name, content).foreachPartition(write)
+    artifacts.select(*[c for c in (folder, name, content) if c]).foreachPartition(write)

@@ -4,6 +4,7 @@ import base64
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from modelpulse.functions import scalar as S
@@ -97,6 +98,16 @@ def test_artifact_files_roundtrip(spark, tmp_path):
     assert read == {"a.bin": (3, b"xyz"), "b.bin": (1, b"q")}
 
 
+def test_artifact_names_stay_in_their_folder(spark, tmp_path):
+    rows = lambda *names: spark.createDataFrame([(f, n, bytearray(b"x")) for f, n in names], "folder string, filename string, content binary")
+    A.write_artifact_files(rows(("one", "a.png"), ("two", "a.png")), f"file://{tmp_path}/out", folder="folder")
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*.png")) == ["out/one/a.png", "out/two/a.png"]
+    for bad in (("..", "a.png"), ("one", "../b.png"), ("one", ""), ("one", None), ("", "a.png")):
+        with pytest.raises(Exception, match="not the name of a file"):
+            A.write_artifact_files(rows(bad), f"file://{tmp_path}/out", folder="folder")
+    assert len(list(tmp_path.rglob("*.png"))) == 2
+
+
 def test_image_preparation():
     flat = np.full((30, 50, 3), 128, dtype=np.uint8)
     tensor = I.prepare(flat)
