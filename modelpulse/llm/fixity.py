@@ -62,8 +62,9 @@ def fixity_audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """Records in which the replicas differ: ``archive``, ``offset``, ``status`` and the columns of ``primary``.
 
     ``status`` is changed, missing (not in the replica) or extra (in the replica alone; then the primary's other columns
-    come from the replica). Both sides need ``archive``, ``offset``, ``length`` and ``digest``, none of them null. Several
-    records at one offset are compared in the order of their digests.
+    come from the replica). Both sides need ``archive``, ``offset``, ``length`` and ``digest``, none of them null, and the same
+    other columns; one named ``status`` is replaced. Several records at one offset, repeated ones among them, are
+    compared in the order of their digests. Empty tables are alike.
     """
     top = primary.agg(F.max("offset").alias("m")).union(replica.agg(F.max("offset"))).agg(F.max("m")).first()[0] or 0
     levels, span = 0, top // RANGE_BYTES
@@ -79,20 +80,19 @@ def fixity_audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
             a, b = (x.withColumn("_up", F.floor(F.col("node") / FANOUT)).join(parent, ["archive", "_up"], "left_semi").drop("_up") for x in (a, b))
         wrong = pin(a.join(b, ["archive", "node"], "full").where(~F.col("hash").eqNullSafe(F.col("other"))).select("archive", "node"))
     tie = Window.partitionBy("archive", "offset").orderBy("digest")
+    others = [c for c in primary.columns if c not in ("archive", "offset", "status")]
 
-    def suspects(records: DataFrame) -> DataFrame:
-        near = records.withColumn("node", F.floor(F.col("offset") / RANGE_BYTES)).join(wrong, ["archive", "node"], "left_semi")
-        return near.drop("node").withColumn("_tie", F.row_number().over(tie))
+    def suspects(records: DataFrame, out: str) -> DataFrame:
+        # The row travels as one column, so that none of its names can clash.
+        packed = records.select("archive", "offset", "digest", F.struct(*[F.col(f"`{c}`") for c in others]).alias(out))
+        near = packed.withColumn("node", F.floor(F.col("offset") / RANGE_BYTES)).join(wrong, ["archive", "node"], "left_semi")
+        return near.withColumn("_tie", F.row_number().over(tie)).drop("node", "digest")
 
-    others = [c for c in primary.columns if c not in ("archive", "offset")]
-    mine = suspects(primary).select("archive", "offset", "_tie", F.struct(*others).alias("_mine"))
-    copy = suspects(replica).select("archive", "offset", "_tie", F.struct(*others).alias("_copy"))
-    both = mine.join(copy, ["archive", "offset", "_tie"], "full")
+    both = suspects(primary, "_mine").join(suspects(replica, "_copy"), ["archive", "offset", "_tie"], "full")
     same = (F.col("_mine.digest") == F.col("_copy.digest")) & (F.col("_mine.length") == F.col("_copy.length"))
     status = F.when(F.col("_copy").isNull(), "missing").when(F.col("_mine").isNull(), "extra").when(~same, "changed")
-    return both.withColumn("status", status).where("status IS NOT NULL").select(
-        "archive", "offset", "status", *[F.coalesce(F.col(f"_mine.{c}"), F.col(f"_copy.{c}")).alias(c) for c in others]
-    )
+    value = lambda c: F.coalesce(F.col("_mine").getField(c), F.col("_copy").getField(c)).alias(c)
+    return both.withColumn("_status", status).where("_status IS NOT NULL").select("archive", "offset", F.col("_status").alias("status"), *[value(c) for c in others])
 
 
 def faulty_replica(pages: DataFrame, records: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -108,6 +109,58 @@ def test_bands_reject_labelled_junk(spark):
         assert least <= share <= most
 
 
+def brute_kneser_ney(texts, order=4):
+    """Probabilities of the interpolated modified Kneser-Ney model by its definition, from strings."""
+    grams = {order: collections.Counter(t[i : i + order] for t in texts for i in range(len(t) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        grams[n] = collections.Counter(g[1:] for g in grams[n + 1])
+    p = {"": 1 / len(grams[1])}
+    for n in range(1, order + 1):
+        c = grams[n]
+        n1, n2, n3, n4 = (sum(v == k for v in c.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0
+        off = []
+        for k, (a, b) in enumerate(((n1, n2), (n2, n3), (n3, n4)), 1):
+            d = k - (k + 1) * y * b / a if n1 and n2 and a else 0
+            off.append(d if 0 < d < k else 0.5)
+        for g, v in c.items():
+            same = [x for h, x in c.items() if h[:-1] == g[:-1]]
+            gamma = sum(off[min(x, 3) - 1] for x in same) / sum(same)
+            p[g] = (v - off[min(v, 3) - 1]) / sum(same) + gamma * p[g[1:]]
+    return p
+
+
+def test_kneser_ney_equals_its_definition(spark):
+    texts = ["the cat sat on the mat. the hat", "a cat and a hat sat, that is that", "mad as a hatter"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    want = brute_kneser_ney(texts)
+    rows = quality.kneser_ney(quality.count_ngrams(docs)).where("cost IS NOT NULL").collect()
+    assert len(rows) == len(want) - 1
+    for r in rows:
+        packed = r.gram & (1 << 64) - 1
+        gram = "".join(chr(packed >> 16 * k & 0xFFFF) for k in range(r.n - 1, -1, -1))
+        assert abs(r.cost - -1e6 * math.log(want[gram])) <= 1, gram
+
+
+def test_lower_band_rejects_a_list_of_common_words(spark):
+    """Nothing in it repeats, so the base rules pass it, but every next letter is what the model expects most."""
+    r = random.Random(4)
+    common, rare = ["the", "and", "of"], ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9))) for _ in range(400)]
+    prose = lambda: " ".join(r.choice(common) if r.random() < 0.3 else r.choice(rare) for _ in range(300))
+    easy = " ".join(r.choice(common) for _ in range(26))
+    rows = [(i, prose(), "en") for i in range(80)] + [(80, easy, "en")]
+    got = {x.doc_id: x for x in quality.quality_verdicts(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not got[80].base_failed and not got[80].kept
+    assert got[80].log_perplexity < min(x.log_perplexity for n, x in got.items() if n != 80)
+    assert all(x.kept for n, x in got.items() if n != 80)
+
+
+def test_quality_of_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "some words", "en", 7, 8, 9)], "doc_id bigint, text string, lang string, low int, high int, _low int")
+    row = quality.quality_verdicts(docs).first()
+    assert (row.low, row.high, row._low, row.kept) == (7, 8, 9, False)
+
+
 def test_a_text_is_not_scored_by_its_own_ngrams(spark):
     docs = spark.createDataFrame([(i, "word after word goes by", "en") for i in range(5)] + [(9, "qqzz xxyy", "en")], "doc_id bigint, text string, lang string")
     model = quality.held_out_model(docs)
@@ -383,6 +436,18 @@ def test_fixity_audit_finds_changed_missing_and_extra(spark):
     assert fixity.fixity_audit(none, none).count() == 0
 
 
+def test_fixity_audit_of_odd_rows(spark):
+    """Several records at one offset, repeated rows, null values and columns named as the audit's own."""
+    schema = "archive bigint, offset bigint, length bigint, digest string, node string, status int, hash string, _tie int"
+    rows = [(1, 0, 5, d, None, 1, "h", 2) for d in ("a", "b", "b", "c")] + [(2, 9, 5, "x", "n", None, None, None)]
+    frame = spark.createDataFrame(rows, schema)
+    assert fixity.fixity_audit(frame, frame).count() == 0
+    other = spark.createDataFrame([*rows[:2], *rows[3:]], schema)
+    got = fixity.fixity_audit(frame, other)
+    assert got.columns == ["archive", "offset", "status", "length", "digest", "node", "hash", "_tie"]
+    assert sorted((r.archive, r.offset, r.status, r.digest) for r in got.collect()) == [(1, 0, "changed", "b"), (1, 0, "missing", "c")]
+
+
 ITEMS = "item_id bigint, text string"
 
 
@@ -433,3 +498,30 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r.doc_id for r in good.select("doc_id").collect()} == kept
     result = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in result.collect()} <= kept and result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_pipeline_stages_one_by_one(spark, sf_dir, texts):
+    """What each stage after the first does to the whole table, against brute force."""
+    docs = load(spark, sf_dir, "documents")
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(FOLD)
+    seen = collections.Counter(k for t in texts.values() for k in {key(x) for x in (t or "").split("\n")} if k)
+    want = {n: "\n".join(x for x in (t or "").split("\n") if seen[key(x)] < 10) for n, t in texts.items()}
+    lined = corpus_pipeline.line_dedup(spark, docs, sf_dir)
+    assert lined.columns == docs.columns
+    assert {r.doc_id: (r.text, r.n_chars) for r in lined.collect()} == {n: (t, len(t)) for n, t in want.items()}
+    assert any(t != want[n] for n, t in texts.items())
+    near = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    assert near.columns == docs.columns
+    assert {r.doc_id for r in near.select("doc_id").collect()} == {n for n, (_, c) in brute_components(texts, 80).items() if n == c}
+    items = [r.text for r in load(spark, sf_dir, "benchmark").collect()]
+    kept = {r.doc_id for r in corpus_pipeline.decontamination(spark, docs, sf_dir).select("doc_id").collect()}
+    words = {n: WORD.findall((t or "").translate(FOLD)) for n, t in texts.items()}
+    asked = [WORD.findall(i.translate(FOLD)) for i in items]
+    grams = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+    some = set().union(*(grams(w, 4) for w in asked))
+    holds = {n for n, w in words.items() if any(" ".join(i) in " ".join(w) for i in asked)}
+    clean = {n for n, w in words.items() if not grams(w, 4) & some}
+    assert holds and clean and not holds & kept and clean <= kept
+    tokens = corpus_pipeline.byte_bpe(spark, docs, sf_dir).collect()
+    assert sorted(r.doc_id for r in tokens) == sorted(texts)
+    assert all(r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest() for r in tokens)
