@@ -9,23 +9,25 @@ from modelpulse.operators.ordered import join_totals
 from modelpulse.session import pin
 
 _STEP = 0x9E3779B97F4A7C15
+PLAIN_ROUNDS = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for every node of ``edges`` (``a``, ``b``, whole numbers).
 
-    In each round a node points to its first neighbour (or itself) in an order that changes from round to round, and the
-    edges are drawn between what their ends point to. Only nodes that one points to remain. In a fixed order a chain whose
-    numbers ascend would lose one node a round; in changing ones any numbering loses a share of them, so the rounds
+    In each round a node points to its first neighbour (or itself), and the edges are drawn between what their ends point
+    to; only nodes that one points to remain. First is the smallest, so that a star around its smallest node is gone in a
+    round. In that order alone a chain whose numbers ascend would lose one node a round; from the ``PLAIN_ROUNDS``-th round
+    on the order therefore changes from round to round, in which any numbering loses a share of its nodes, so the rounds
     are about the logarithm of the nodes. Minima are combined before the shuffle, so a node with very many
     neighbours is no burden. Each round's tables are checkpointed.
     """
     edges = pin(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").cast("bigint").alias("a"), F.greatest("a", "b").cast("bigint").alias("b")).distinct())
     labels, rounds = None, 0
     while not edges.isEmpty():
-        # Numbers with some bits turned over: another order, and turned over again the numbers themselves. The first
-        # round takes them as they are, which a star around its smallest node needs no second for.
-        turned = lambda c, mask=F.lit(_STEP * rounds % (1 << 63)).cast("bigint"): F.col(c).bitwiseXOR(mask)
+        # Numbers with some bits turned over: another order, and turned over again the numbers themselves.
+        mask = 0 if rounds < PLAIN_ROUNDS else _STEP * rounds % (1 << 63)
+        turned = lambda c, mask=mask: F.col(c).bitwiseXOR(F.lit(mask).cast("bigint")) if mask else F.col(c)
         rounds += 1
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.min(turned("b")).alias("m")).select(F.col("a").alias("node"), F.least(turned("a"), "m").alias("to"))
@@ -40,5 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
         edges = pin(moved.where(F.col("a") != F.col("b")).distinct())
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if rounds <= PLAIN_ROUNDS:
+        return labels.select("node", F.col("to").alias("component"))
+    # What is left of a component after a changed order need not be its smallest node.
     smallest = labels.groupBy("to").agg(F.min("node").alias("component"))
     return join_totals(labels, smallest, ["to"]).select("node", "component")
