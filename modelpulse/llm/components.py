@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelpulse.operators.ordered import join_totals
-from modelpulse.session import pin
+from modelpulse.session import pin, scratch_path
 
 _STEP = 0x9E3779B97F4A7C15
 PLAIN_ROUNDS = 4
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A copy that knows nothing of its origin: what a checkpoint inherits of known conditions doubles with every round."""
+    path = scratch_path(df.sparkSession, "components")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for every node of ``edges`` (``a``, ``b``, whole numbers).
 
@@ -20,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     round. In that order alone a chain whose numbers ascend would lose one node a round; from the ``PLAIN_ROUNDS``-th round
     on the order therefore changes from round to round, in which any numbering loses a share of its nodes, so the rounds
     are about the logarithm of the nodes. Minima are combined before the shuffle, so a node with very many
-    neighbours is no burden. Each round's tables are checkpointed.
+    neighbours is no burden. Each round's tables are checkpointed, those of later rounds written.
     """
     edges = pin(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").cast("bigint").alias("a"), F.greatest("a", "b").cast("bigint").alias("b")).distinct())
     labels, rounds = None, 0
@@ -28,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Numbers with some bits turned over: another order, and turned over again the numbers themselves.
         mask = 0 if rounds < PLAIN_ROUNDS else _STEP * rounds % (1 << 63)
         turned = lambda c, mask=mask: F.col(c).bitwiseXOR(F.lit(mask).cast("bigint")) if mask else F.col(c)
+        keep = pin if rounds < PLAIN_ROUNDS else _written
         rounds += 1
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.min(turned("b")).alias("m")).select(F.col("a").alias("node"), F.least(turned("a"), "m").alias("to"))
@@ -36,10 +44,10 @@ def components(edges: DataFrame) -> DataFrame:
             labels = points
         else:
             step = points.select(F.col("node").alias("to"), F.col("to").alias("_next"))
-            labels = pin(labels.join(step, "to", "left").select("node", F.coalesce("_next", "to").alias("to")))
+            labels = keep(labels.join(step, "to", "left").select("node", F.coalesce("_next", "to").alias("to")))
         ends = lambda c: points.select(F.col("node").alias(c), F.col("to").alias(f"_{c}"))
         moved = edges.join(ends("a"), "a").join(ends("b"), "b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
-        edges = pin(moved.where(F.col("a") != F.col("b")).distinct())
+        edges = keep(moved.where(F.col("a") != F.col("b")).distinct())
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     if rounds <= PLAIN_ROUNDS:

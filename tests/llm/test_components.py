@@ -24,8 +24,8 @@ def brute(edges):
 
 RAND = random.Random(11)
 SHAPES = {
-    "ascending chain": ([(i, i + 1) for i in range(200)], 12),
-    "descending chain from both ends": ([(min(i, 400 - i), min(i + 1, 399 - i) + 1000) for i in range(150)], 12),
+    "ascending chain": ([(i, i + 1) for i in range(200)], 15),
+    "descending chain from both ends": ([(min(i, 400 - i), min(i + 1, 399 - i) + 1000) for i in range(150)], 15),
     "star": ([(0, i) for i in range(1, 300)], 3),
     "random": ([(RAND.randrange(-500, 500), RAND.randrange(10**12)) for _ in range(40)] + [(RAND.randrange(100), RAND.randrange(100)) for _ in range(70)], 9),
     "none": ([], 0),
@@ -36,8 +36,9 @@ SHAPES = {
 def test_components(spark, monkeypatch, shape):
     edges, most = SHAPES[shape]
     pins = []
-    pin = C.pin
+    pin, written = C.pin, C._written
     monkeypatch.setattr(C, "pin", lambda df: pins.append(1) or pin(df))
+    monkeypatch.setattr(C, "_written", lambda df: pins.append(1) or written(df))
     frame = spark.createDataFrame(edges + edges[:3], "a bigint, b bigint")
     got = {r.node: r.component for r in C.components(frame).collect()}
     assert got == {x: c for x, c in brute([e for e in edges if e[0] != e[1]]).items()}
