@@ -377,8 +377,8 @@ def notebook_image_files(spark, sf_dir):
     """The images as files, in one folder per notebook, scanned back; a scan passes over empty files."""
     path = scratch_path(spark, "notebook-images")
     final = N.last_write_wins(N.image_outputs(_notebooks(spark, sf_dir)))
-    A.write_artifact_files(final, path, folder="path")
-    scanned = A.read_image_bytes(spark, f"{path}/*", "*.png")
+    A.write_artifact_files(final, path, folder="path", shards=A.SHARDS)
+    scanned = A.read_image_bytes(spark, path, "*.png", recursive=True)
     named = lambda group: F.regexp_extract("path", r"([^/]+)/([^/]+)$", group)
     return scanned.select(named(1).alias("folder"), named(2).alias("filename"), F.md5("content").alias("digest"), "length")
 
@@ -407,8 +407,8 @@ def _bitmaps(spark, sf_dir):
 @query("SELECT 'img_' || vec_id || '.bmp' AS filename, CAST(246 AS BIGINT) AS length FROM embeddings")
 def image_bytes_scan(spark, sf_dir):
     path = scratch_path(spark, "images")
-    A.write_artifact_files(_bitmaps(spark, sf_dir), path)
-    scanned = A.read_image_bytes(spark, path, "*.bmp")
+    A.write_artifact_files(_bitmaps(spark, sf_dir), path, shards=A.SHARDS)
+    scanned = A.read_image_bytes(spark, path, "*.bmp", recursive=True)
     return scanned.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), "length")
 
 

@@ -108,6 +108,33 @@ def test_artifact_names_stay_in_their_folder(spark, tmp_path):
     assert len(list(tmp_path.rglob("*.png"))) == 2
 
 
+def test_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    rows = [(f"f{i % 7}", f"{i}.png", bytearray(b"x" * i)) for i in range(40)]
+    A.write_artifact_files(spark.createDataFrame(rows, "folder string, filename string, content binary"), f"file://{tmp_path}/out", folder="folder", shards=3)
+    assert len(list((tmp_path / "out").iterdir())) <= 3
+    (tmp_path / "out" / "_hidden.png").write_bytes(b"x")
+    (tmp_path / "out" / "other.txt").write_bytes(b"x")
+    read = A.read_image_bytes(spark, f"{tmp_path}/out", "*.png", recursive=True)
+    # The driver knows no file: a listing there grows with the files.
+    assert list(read.inputFiles()) == []
+    got = sorted((*r["path"].split("/")[-2:], bytes(r["content"]), r["length"]) for r in read.collect())
+    assert got == sorted((f, n, bytes(c), len(c)) for f, n, c in rows if c)
+    assert A.read_image_bytes(spark, f"{tmp_path}/out", "*.txt").first()["path"] == f"file:{tmp_path}/out/other.txt"
+
+
+def test_notebooks_are_listed_and_read_by_tasks(spark, tmp_path):
+    cell = {"source": ["a"], "outputs": [png("one")]}
+    texts = {"one": json.dumps({"cells": [cell]}), "two": json.dumps([{"cells": []}, {"cells": [cell]}]), "broken": "{", "empty": " \n", "none": "[]"}
+    (tmp_path / "0001").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "0001" / f"{name} x.ipynb").write_text(text)
+    read = A.read_notebooks(spark, f"file://{tmp_path}", recursive=True)
+    assert list(read.inputFiles()) == []
+    plain = A.read_notebooks(spark, f"{tmp_path}/000[1]")  # by Spark's own reader
+    both = [sorted((r["path"], str(r["cells"])) for r in df.collect()) for df in (read, plain)]
+    assert both[0] == both[1] and len(both[0]) == 4
+
+
 def test_image_preparation():
     flat = np.full((30, 50, 3), 128, dtype=np.uint8)
     tensor = I.prepare(flat)
