@@ -359,8 +359,8 @@ def notebook_artifacts(spark, sf_dir):
         F.concat(F.col("path"), F.lit(".ipynb")).alias("filename"),
         F.encode(F.to_json(F.struct("cells")), "utf-8").alias("content"),
     )
-    A.write_artifact_files(documents, files)
-    final = N.last_write_wins(N.image_outputs(A.read_notebooks(spark, files)))
+    A.write_artifact_files(documents, files, shards=A.SHARDS)
+    final = N.last_write_wins(N.image_outputs(A.read_notebooks(spark, files, recursive=True)))
     table = scratch_path(spark, "artifacts")
     A.write_artifact_table(final, table)
     stored = spark.read.parquet(table)
