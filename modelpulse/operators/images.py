@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -32,18 +33,31 @@ def resample_weights(size_in: int, size_out: int):
 
 
 def prepare(pixels):
-    """float32 [3, 224, 224] from uint8 [height, width, 3] in red-green-blue order."""
+    """float32 [3, 224, 224] from uint8 [height, width, 3] in red-green-blue order.
+
+    Only what the crop keeps is resampled, and the byte values that come of it are standardised by a table.
+    """
     import numpy as np
 
     height, width = pixels.shape[:2]
     short = min(height, width)
     new_h, new_w = int(RESIZE_TO * height / short), int(RESIZE_TO * width / short)
-    across = np.rint(np.tensordot(resample_weights(width, new_w), pixels.astype(np.float64), axes=(1, 1)))
-    both = np.rint(np.tensordot(resample_weights(height, new_h), across, axes=(1, 1)))
     top, left = round((new_h - CROP_TO) / 2), round((new_w - CROP_TO) / 2)
-    crop = both[top : top + CROP_TO, left : left + CROP_TO] / 255.0
-    scaled = (crop - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)
-    return scaled.transpose(2, 0, 1).astype(np.float32)
+    across, down = resample_weights(width, new_w)[left : left + CROP_TO], resample_weights(height, new_h)[top : top + CROP_TO]
+    planes = pixels.transpose(2, 0, 1).astype(np.float64)
+    wide = np.rint(planes @ across.T)
+    both = np.rint(down @ wide).astype(np.int64)
+    # The weights of a pixel are positive and add up to one, so what comes of bytes are bytes.
+    return np.stack([table[plane] for table, plane in zip(_standardised(), both)])
+
+
+@lru_cache(maxsize=1)
+def _standardised():
+    """Per channel the standardised float32 of every byte value."""
+    import numpy as np
+
+    scaled = np.arange(256)[:, None] / 255.0
+    return ((scaled - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)).T.astype(np.float32)
 
 
 def to_rgb(row):
@@ -56,35 +70,52 @@ def to_rgb(row):
     return flat[:, :, 2::-1]
 
 
-def image_tensors(images: DataFrame, rows_per_batch: int = 8) -> DataFrame:
-    """One tensor per decoded image; small output batches keep the worker's memory flat."""
+def image_tensors(images: DataFrame, rows_per_batch: int = 8, then: Callable | None = None, schema: T.StructType | str = TENSOR_SCHEMA) -> DataFrame:
+    """One tensor per decoded image; small output batches keep the worker's memory flat.
+
+    ``then`` (a model, ``checksum_batches``) takes the Arrow batches of tensors where they are made and gives such of ``schema``.
+    A tensor is thousands of times its image: to hand it over as a row costs more than to make it.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for held in batches:
+            for start in range(0, held.num_rows, rows_per_batch):
+                part = held.slice(start, rows_per_batch)
+                values = np.stack([prepare(to_rgb(row)).ravel() for row in part.to_pandas().itertuples(index=False)])
+                offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+                yield pa.RecordBatch.from_arrays([part.column("origin"), pa.ListArray.from_arrays(offsets, values.ravel())], ["origin", "tensor"])
 
-    def run(frames):
-        import pandas as pd
+    chained = run if then is None else lambda batches: then(run(batches))
+    return images.select("origin", "height", "width", "nChannels", "data").mapInArrow(chained, schema)
 
-        for frame in frames:
-            for start in range(0, len(frame), rows_per_batch):
-                part = frame.iloc[start : start + rows_per_batch]
-                tensors = [prepare(to_rgb(row)).ravel() for row in part.itertuples(index=False)]
-                yield pd.DataFrame({"origin": part["origin"].to_numpy(), "tensor": tensors})
 
-    return images.select("origin", "height", "width", "nChannels", "data").mapInPandas(run, TENSOR_SCHEMA)
+CHECKSUM_SCHEMA = "origin string, red bigint, green bigint, blue bigint, lowest float, highest float"
+
+
+def checksum_batches(batches, modulus: int = 9973):
+    """Arrow batches (origin, one whole number per channel, range) of batches (origin, tensor)."""
+    import numpy as np
+    import pyarrow as pa
+
+    # Sums of whole numbers far below 2**53, so floating point is exact.
+    place = 1.0 + np.arange(CROP_TO**2) % modulus
+    std, mean = np.array(CHANNEL_STD)[:, None], np.array(CHANNEL_MEAN)[:, None]
+    kinds = [pa.string(), *[pa.int64()] * 3, *[pa.float32()] * 2]
+    for held in batches:
+        rows = []
+        for i, origin in enumerate(held.column("origin").to_pylist()):
+            values = np.asarray(held.column("tensor")[i].values, dtype=np.float32)
+            channels = values.reshape(3, -1) * std
+            channels += mean
+            channels *= 255
+            rows.append((origin, *(np.rint(channels, out=channels) @ place).astype(np.int64).tolist(), values.min(), values.max()))
+        columns = [pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["origin", "red", "green", "blue", "lowest", "highest"])
 
 
 def channel_checksums(tensors: DataFrame, modulus: int = 9973) -> DataFrame:
     """``origin``, one whole number per channel that weighs each of its byte values by its place, and the range of the tensor."""
-
-    def run(frames):
-        import numpy as np
-        import pandas as pd
-
-        place = 1 + np.arange(CROP_TO**2, dtype=np.int64) % modulus
-        for frame in frames:
-            rows = []
-            for origin, tensor in zip(frame["origin"], frame["tensor"]):
-                values = np.asarray(tensor, dtype=np.float32)
-                channels = values.reshape(3, -1).astype(np.float64) * np.array(CHANNEL_STD)[:, None] + np.array(CHANNEL_MEAN)[:, None]
-                rows.append((origin, *(np.rint(channels * 255).astype(np.int64) @ place).tolist(), values.min(), values.max()))
-            yield pd.DataFrame(rows, columns=["origin", "red", "green", "blue", "lowest", "highest"])
-
-    return tensors.mapInPandas(run, "origin string, red bigint, green bigint, blue bigint, lowest float, highest float")
+    return tensors.select("origin", "tensor").mapInArrow(lambda batches: checksum_batches(batches, modulus), CHECKSUM_SCHEMA)

@@ -439,8 +439,7 @@ def image_tensors(spark, sf_dir):
     """Every pixel of the prepared images, by a checksum of each channel's values before they are standardised."""
     path = scratch_path(spark, "images")
     A.write_artifact_files(_bitmaps(spark, sf_dir), path)
-    tensors = I.image_tensors(A.read_images(spark, path).where("ok"))
-    sums = I.channel_checksums(tensors)
+    sums = I.image_tensors(A.read_images(spark, path).where("ok"), then=I.checksum_batches, schema=I.CHECKSUM_SCHEMA)
     return sums.select(
         F.regexp_extract("origin", r"([^/]+)$", 1).alias("filename"), F.lit(3 * I.CROP_TO**2).alias("values"), "red", "green", "blue",
         F.round(F.col("lowest").cast("double"), 4).alias("lowest"), F.round(F.col("highest").cast("double"), 4).alias("highest"),

@@ -170,3 +170,20 @@ def test_records_of_several_lines_are_folded(spark, tmp_path):
     assert {(r["request_id"], r["message"], r["raw"]) for r in got} == {
         (None, None, "left over"), ("r1", "failed\nTraceback:\n\n  boom", None), ("r2", "failed", None), ("r3", "failed\n  other", None),
     }
+
+
+def test_checksums_where_the_tensors_are_made(spark, tmp_path):
+    from modelpulse.plans import logs as P
+
+    A.write_artifact_files(P._bitmaps(spark, "/root/testdata/sf0.001").limit(12), f"file://{tmp_path}/out")
+    images = A.read_images(spark, f"{tmp_path}/out").where("ok")
+    chained = I.image_tensors(images, then=I.checksum_batches, schema=I.CHECKSUM_SCHEMA)
+    # One pass through Python: a tensor as a row is 600 KB.
+    assert chained._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    tensors = I.image_tensors(images, rows_per_batch=5)
+    held = {r["origin"]: np.array(r["tensor"], dtype=np.float32) for r in tensors.collect()}
+    assert len(held) == 12 and all(len(t) == 3 * 224 * 224 for t in held.values())
+    assert sorted(map(tuple, chained.collect())) == sorted(map(tuple, I.channel_checksums(tensors).collect()))
+    for row in chained.collect():
+        red = np.rint((held[row["origin"]][: 224 * 224].astype(float) * 0.229 + 0.485) * 255).astype(int)
+        assert row["red"] == sum(v * (1 + i % 9973) for i, v in enumerate(red.tolist()))
