@@ -19,6 +19,8 @@ from modelpulse.session import scratch_path
 # Our choice: lifetime counters never expire, windowed ones need a bound for late data.
 WATERMARK = "10 minutes"
 WIDTH = "1 hour"
+# Rows that a task takes in before it folds repeats among them.
+FOLD_ROWS = 100_000
 
 
 def read_table_stream(spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -66,20 +68,40 @@ def score_stream(stream: DataFrame, features: str, width: int, make_predict: Cal
     return score_in_batches(stream, features, width, make_predict, batch_size)
 
 
-class FirstArrival(StatefulProcessor):
-    """Passes on the first row of every key and remembers that it came; of rows that come together the smallest."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.came = handle.getValueState("came", "came boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if not self.came.exists():
-            self.came.update((True,))
-            # As the batch job orders them: a missing value is the smallest.
-            yield min(rows, key=lambda row: [(v is not None, v) for v in row])
+def _smallest_rows(table, keys: Sequence[str]):
+    """One row per key of an Arrow table: of several the smallest, as the batch job orders them: a missing value is the smallest."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    place = pa.array(range(len(table)), pa.int64())
+    found = table.select(list(keys)).append_column("_at", place).group_by(list(keys)).aggregate([("_at", "min"), ("_at", "count")])
+    alone = found.filter(pc.equal(found.column("_at_count"), 1)).column("_at_min").combine_chunks()
+    if len(alone) == len(table):
+        return table
+    several = {}
+    for at, row in zip((rest := place.filter(pc.invert(pc.is_in(place, alone)))).to_pylist(), table.take(rest).to_pylist()):
+        several.setdefault(tuple(row[k] for k in keys), []).append(([(v is not None, v) for v in row.values()], at))
+    smallest = [min(rows, key=lambda row: row[0])[1] for rows in several.values()]
+    return table.take(pa.concat_arrays([alone, pa.array(smallest, pa.int64())]))
+
+
+def _first_of_trigger(keys: Sequence[str]) -> Callable:
+    """What a task hands on of the rows of a trigger that it was dealt by their keys: repeats are folded whenever so many rows have come."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, new, n = [], 0, 0
+        for batch in batches:
+            held.append(batch)
+            new += batch.num_rows
+            if new >= max(FOLD_ROWS, n):
+                table = _smallest_rows(pa.Table.from_batches(held), keys)
+                held, new, n = table.to_batches(), 0, len(table)
+        if held:
+            yield from _smallest_rows(pa.Table.from_batches(held), keys).to_batches(max_chunksize=10_000)
 
-    def close(self) -> None:
-        pass
+    return run
 
 
 class SizeOrTime(StatefulProcessor):
@@ -140,12 +162,14 @@ def keep_state_on_disk(spark: SparkSession) -> None:
 def without_earlier(events: DataFrame) -> DataFrame:
     """Events whose id has not come before, however long ago; one without a time stands beside one with a time.
 
-    The state is one flag per id; no written row is read again.
+    Of rows that come in one trigger the smallest stays. The state is one key per id; no written row is read again. A task holds
+    its share of a trigger's distinct rows; bound a trigger by the source or take more shuffle partitions.
     """
     keep_state_on_disk(events.sparkSession)
-    grouped = events.withColumn("_timeless", F.col("day").isNull()).groupBy("event_id", "_timeless")
-    schema = T.StructType([*events.schema, T.StructField("_timeless", T.BooleanType())])
-    return grouped.transformWithState(FirstArrival(), schema, "append", "none").drop("_timeless")
+    keys = ["event_id", "_timeless"]
+    marked = events.withColumn("_timeless", F.col("day").isNull())
+    one = marked.repartition(*keys).mapInArrow(_first_of_trigger(keys), marked.schema)
+    return one.dropDuplicates(keys).drop("_timeless")
 
 
 def size_or_time_batches(requests: DataFrame, keys: Sequence[str], columns: Sequence[str], size: int = MAX_BATCH, wait_ms: int = TICK_US // 1000) -> DataFrame:
